@@ -74,7 +74,6 @@ NOUN = (
     "ию|ью|ия|ья|а|е|и|й|о|у|ы|ь|ю|я"
 )
 DERIVATIONAL = "ость|ост"
-SUPERLATIVE = "ейше|ейш"
 
 
 def _drop(word: Column, pattern: str, keep: str = "") -> Column:
@@ -86,38 +85,58 @@ def _either(after_a: str, free: str) -> str:
     return f"(?:([ая])(?:{after_a})|(?:{free}))$"
 
 
+def _first_change(word: Column, patterns: Sequence[tuple[str, str]]) -> Column:
+    """Apply the first replacement that changes the word."""
+    (pattern, keep), *rest = patterns
+    if not rest:
+        return _drop(word, pattern, keep)
+    return let(
+        _drop(word, pattern, keep),
+        lambda new: F.when(new != word, new).otherwise(_first_change(word, rest)),
+    )
+
+
 def _inflection(tail: Column) -> Column:
     """First step: a gerund ending, or a reflexive ending and then one of three kinds."""
-    gerund = _either(GERUND_AFTER_A, GERUND)
-    participle = f"(?:(?:([ая])(?:{PARTICIPLE_AFTER_A}))|(?:{PARTICIPLE}))(?:{ADJECTIVE})$"
-    adjective = f"(?:{ADJECTIVE})$"
-    verb = _either(VERB_AFTER_A, VERB)
-    return F.when(tail.rlike(gerund), _drop(tail, gerund, "$1")).otherwise(
-        let(
-            _drop(tail, f"(?:{REFLEXIVE})$"),
-            lambda plain: F.when(plain.rlike(participle), _drop(plain, participle, "$1"))
-            .when(plain.rlike(adjective), _drop(plain, adjective))
-            .when(plain.rlike(verb), _drop(plain, verb, "$1"))
-            .otherwise(_drop(plain, f"(?:{NOUN})$")),
-        )
+    kinds = [
+        (f"(?:(?:([ая])(?:{PARTICIPLE_AFTER_A}))|(?:{PARTICIPLE}))(?:{ADJECTIVE})$", "$1"),
+        (f"(?:{ADJECTIVE})$", ""),
+        (_either(VERB_AFTER_A, VERB), "$1"),
+        (f"(?:{NOUN})$", ""),
+    ]
+    return let(
+        _drop(tail, _either(GERUND_AFTER_A, GERUND), "$1"),
+        lambda new: F.when(new != tail, new).otherwise(
+            let(_drop(tail, f"(?:{REFLEXIVE})$"), lambda plain: _first_change(plain, kinds))
+        ),
     )
 
 
+def _cut(word: Column, count: int) -> Column:
+    return F.substring(word, F.lit(1), F.length(word) - count)
+
+
 def _derivation(head: Column, tail: Column) -> Column:
     """Third step: the ending must lie behind the second vowel-consonant border of the word."""
     border = f"[^{VOWELS}]*[{VOWELS}]+[^{VOWELS}]"
     ending = f"(?:{DERIVATIONAL})$"
     far = F.concat(head, tail).rlike(f"^{border}{border}.*{ending}")
-    return F.when(far & tail.rlike(ending), _drop(tail, ending)).otherwise(tail)
+    has = tail.endswith("ост") | tail.endswith("ость")
+    return F.when(has, F.when(far, _drop(tail, ending)).otherwise(tail)).otherwise(tail)
+
+
+def _single_n(tail: Column) -> Column:
+    return F.when(tail.endswith("нн"), _cut(tail, 1)).otherwise(tail)
 
 
 def _tidy(tail: Column) -> Column:
     """Last step: superlative, double н, soft sign."""
-    superlative = f"(?:{SUPERLATIVE})$"
     return (
-        F.when(tail.rlike(superlative), _drop(_drop(tail, superlative), "нн$", "н"))
-        .when(tail.rlike("нн$"), _drop(tail, "н$"))
-        .otherwise(_drop(tail, "ь$"))
+        F.when(tail.endswith("ейше"), let(_cut(tail, 4), _single_n))
+        .when(tail.endswith("ейш"), let(_cut(tail, 3), _single_n))
+        .when(tail.endswith("нн"), _cut(tail, 1))
+        .when(tail.endswith("ь"), _cut(tail, 1))
+        .otherwise(tail)
     )
 
 
@@ -125,7 +144,8 @@ def _stem_word(word: Column) -> Column:
     def from_head(head: Column) -> Column:
         rest = F.substring(word, F.length(head) + 1, F.length(word))
         step1 = let(rest, _inflection)
-        step3 = let(_drop(step1, "и$"), lambda t: _derivation(head, t))
+        step2 = let(step1, lambda t: F.when(t.endswith("и"), _cut(t, 1)).otherwise(t))
+        step3 = let(step2, lambda t: _derivation(head, t))
         return F.when(head == "", word).otherwise(F.concat(head, let(step3, _tidy)))
 
     return let(F.regexp_extract(word, f"^([^{VOWELS}]*[{VOWELS}])", 1), from_head)
@@ -133,7 +153,7 @@ def _stem_word(word: Column) -> Column:
 
 def stem_russian(token: Column) -> Column:
     """Snowball stem of one token; tokens without Cyrillic letters stay as they are."""
-    folded = F.regexp_replace(F.lower(token), "ё", "е")
+    folded = F.translate(F.lower(token), "ё", "е")
     return F.when(token.rlike(r"\p{IsCyrillic}"), let(folded, _stem_word)).otherwise(token)
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from irspark.plans.lineage import materialize
 from irspark.plans.ordering import rank_within
 from irspark.plans.skew import lookup_join
 
@@ -28,7 +29,7 @@ def total_score(scores: DataFrame) -> DataFrame:
 
 def rank_by_sum(scores: DataFrame) -> DataFrame:
     """Documents by total score; missing pages count as -1."""
-    return rank_within(total_score(scores), ["query_id"], _order(F.col("score")))
+    return rank_missing_last(total_score(scores))
 
 
 def weighted_score(scores: DataFrame, weights: Mapping[str, float]) -> DataFrame:
@@ -45,7 +46,8 @@ def rank_weighted(scores: DataFrame, weights: Mapping[str, float]) -> DataFrame:
 
 
 def rank_missing_last(totals: DataFrame) -> DataFrame:
-    return rank_within(totals, ["query_id"], _order(F.col("score")))
+    """Documents by score, null last. Totals are written once, as ranking reads them twice."""
+    return rank_within(materialize(totals), ["query_id"], _order(F.col("score")))
 
 
 def merge_families(scores: DataFrame, others: DataFrame, prefix: str = "x") -> DataFrame:
@@ -65,7 +67,7 @@ def uniform(seed: str, *keys: str) -> Column:
 
 def rank_random_missing(scores: DataFrame, seed: str = "0") -> DataFrame:
     """Rank by total score, missing pages put at random places between the others."""
-    totals = total_score(scores)
+    totals = materialize(total_score(scores))
     good = rank_within(
         totals.filter(F.col("score") != MISSING), ["query_id"], _order(F.col("score")), "place"
     ).withColumn("place", F.col("place").cast("double"))
