@@ -45,6 +45,9 @@ def compare(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
     cursor = con.execute(sql)
     right_cols = [d[0] for d in cursor.description]
     right = rows_of(right_cols, cursor.fetchall())
+    for name, kind in ((d[0], str(d[1])) for d in cursor.description):
+        if kind.startswith(("DECIMAL", "HUGEINT")):
+            return f"column {name} is {kind}"
     if sorted(left_cols) != sorted(right_cols):
         return f"columns {sorted(left_cols)} != {sorted(right_cols)}"
     if len(left) != len(right):

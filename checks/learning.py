@@ -83,7 +83,7 @@ def pair_errors(spark: SparkSession, d: str) -> DataFrame:
 
 @check(f"""
 WITH {LTR_SQL}
-SELECT doc_id, query_id, dense_rank() OVER (PARTITION BY query_id ORDER BY label) * 5.0 AS label FROM x
+SELECT doc_id, query_id, CAST(dense_rank() OVER (PARTITION BY query_id ORDER BY label) * 5 AS DOUBLE) AS label FROM x
 """)
 def label_norm(spark: SparkSession, d: str) -> DataFrame:
     return ltr.normalize_labels(matrix(spark, d)).select("doc_id", "query_id", "label")

@@ -148,7 +148,8 @@ Z = 1.959963984540054
 def critical_sql(df: str) -> str:
     return (
         f"({Z} + {(Z**3 + Z) / 4} / ({df}) + {(5 * Z**5 + 16 * Z**3 + 3 * Z) / 96} / ({df}) ** 2"
-        f" + {(3 * Z**7 + 19 * Z**5 + 17 * Z**3 - 15 * Z) / 384} / ({df}) ** 3)"
+        f" + {(3 * Z**7 + 19 * Z**5 + 17 * Z**3 - 15 * Z) / 384} / ({df}) ** 3"
+        f" + {(79 * Z**9 + 776 * Z**7 + 1482 * Z**5 - 1920 * Z**3 - 945 * Z) / 92160} / ({df}) ** 4)"
     )
 
 

@@ -27,17 +27,23 @@ def queries(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def candidates(spark: SparkSession, d: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
-    """Every document is a candidate of one query; each query also has one unknown page."""
+def known_candidates(
+    spark: SparkSession, d: str, name: str = "documents", key: str = "doc_id"
+) -> DataFrame:
+    """Every document is a candidate of one query."""
     n = table(spark, d, "benchmark").agg(F.count(F.lit(1))).scalar()
-    known = table(spark, d, name).select(
+    return table(spark, d, name).select(
         F.pmod(F.col(key), n).cast("string").alias("query_id"), F.col(key).alias("doc_id")
     )
+
+
+def candidates(spark: SparkSession, d: str, name: str = "documents", key: str = "doc_id") -> DataFrame:
+    """Candidates, and for each query one page that does not exist."""
     unknown = table(spark, d, "benchmark").select(
         F.col("item_id").cast("string").alias("query_id"),
         (F.col("item_id") + 1000000000).alias("doc_id"),
     )
-    return known.unionByName(unknown)
+    return known_candidates(spark, d, name, key).unionByName(unknown)
 
 
 CANDIDATES_SQL = """
@@ -328,8 +334,7 @@ SELECT CAST(doc_id % (SELECT count(*) FROM benchmark) AS VARCHAR) AS query_id, d
 FROM documents
 """)
 def candidates_by_query(spark: SparkSession, d: str) -> DataFrame:
-    known = candidates(spark, d).filter(F.col("doc_id") < 1000000000)
-    return S.candidates(known, [F.col("doc_id").asc()])
+    return S.candidates(known_candidates(spark, d), [F.col("doc_id").asc()])
 
 
 @check("""

@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from irspark.plans.limits import BROADCAST_ROWS, limit
 from irspark.plans.lineage import materialize
 from irspark.plans.ordering import top_within
-from irspark.plans.skew import lookup_join
 
 Metric = Callable[[], Column]
 
@@ -135,7 +135,9 @@ def bootstrap(
             draw_index(seed, F.col("split"), F.col("iteration"), F.col("draw"), n).alias("row_idx"),
         )
     )
-    picked = lookup_join(draws, values, ["split", "row_idx"], "inner", sum(sizes.values()))
+    # Draws are uniform, so no session is hot.
+    small = sum(sizes.values()) <= limit(spark, BROADCAST_ROWS)
+    picked = draws.join(F.broadcast(values) if small else values, ["split", "row_idx"])
     series = picked.groupBy("iteration", "split", "block").agg(F.avg("m").alias("value"))
     blocks = -(-size_sample // size_group)
     critical = t_quantile(spark, 1 - alpha / 2, 2 * blocks - 2)

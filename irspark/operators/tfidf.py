@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from irspark.functions.text import fold_tokens, remove_stop_words
-from irspark.plans.limits import BROADCAST_ROWS, limit
+from irspark.plans.lineage import materialize
 from irspark.plans.ordering import top_rows
 from irspark.plans.skew import lookup_join, skew_join
 
@@ -63,10 +63,13 @@ def fit_idf(
     mode: str = "words",
     stop_words: Sequence[str] = (),
 ) -> DataFrame:
-    """Vocabulary with idf: term, tf, df, idf."""
+    """Vocabulary with idf: term, tf, df, idf.
+
+    The fitted table is written once; using it never counts the corpus again.
+    """
     n = texts.agg(F.count(F.lit(1))).scalar()
     vocabulary = fit_vocabulary(texts, max_features, text, mode, stop_words)
-    return vocabulary.withColumn("idf", smooth_idf(F.col("df"), n))
+    return materialize(vocabulary.withColumn("idf", smooth_idf(F.col("df"), n)))
 
 
 def transform(
