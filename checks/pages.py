@@ -10,11 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import check, r6, table
+from checks.registry import check, r6, table, wide_table
 from checks.text import candidates, queries
 from irspark.functions import html as H
 from irspark.functions import urls as U
 from irspark.operators import fields, graph, html, ranking, tfidf
+from irspark.plans.lineage import materialize
 from irspark.sources import graph as GS
 from irspark.sources import relevance as S
 
@@ -22,7 +23,7 @@ TRIM = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ' || chr(160)"
 
 
 def pages(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "pages")
+    return wide_table(spark, d, "pages")
 
 
 # The SQL finds the last opened tag with a window over all markup of a page.
@@ -231,30 +232,32 @@ WEIGHTS = {
 }
 
 
-def _fitted(spark: SparkSession, d: str):
-    parsed = fields.page_fields(pages(spark, d))
+def _fitted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Parsed pages, written once, and the idf of their training text."""
+    parsed = materialize(fields.page_fields(pages(spark, d)))
     training = parsed.select("doc_id", fields.training_text().alias("text"))
     return parsed, tfidf.fit_idf(training)
 
 
+def _scores(spark: SparkSession, d: str, parsed: DataFrame, texts: DataFrame, idf: DataFrame) -> DataFrame:
+    weights = tfidf.transform(texts, idf, ("doc_id", "field"))
+    cand = candidates(spark, d, "pages", "page_id")
+    return tfidf.score(queries(spark, d), cand, weights, parsed, FOUR)
+
+
 def field_scores(spark: SparkSession, d: str) -> DataFrame:
     parsed, idf = _fitted(spark, d)
-    weights = tfidf.transform(fields.field_texts(parsed), idf, ("doc_id", "field"))
-    return tfidf.score(
-        queries(spark, d), candidates(spark, d, "pages", "page_id"), weights, parsed, FOUR
-    )
+    return _scores(spark, d, parsed, fields.field_texts(parsed), idf)
 
 
-def full_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Scores against the text of all tags, and against title, keywords and description."""
+def two_families(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of the four fields, merged with scores where the text is that of all tags."""
     parsed, idf = _fitted(spark, d)
-    texts = fields.field_texts(parsed).filter(F.col("field") != "text").unionByName(
-        parsed.select("doc_id", F.lit("text").alias("field"), fields.all_text().alias("text"))
-    )
-    weights = tfidf.transform(texts, idf, ("doc_id", "field"))
-    return tfidf.score(
-        queries(spark, d), candidates(spark, d, "pages", "page_id"), weights, parsed, FOUR
-    )
+    texts = fields.field_texts(parsed)
+    whole = parsed.select("doc_id", F.lit("text").alias("field"), fields.all_text().alias("text"))
+    others = texts.filter(F.col("field") != "text").unionByName(whole)
+    first = materialize(_scores(spark, d, parsed, texts, idf))
+    return ranking.merge_families(first, _scores(spark, d, parsed, others, idf))
 
 
 @check(f"WITH {PAGE_SCORE_SQL} SELECT doc_id, term, round(weight, 6) AS weight FROM w WHERE field = 'all'")
@@ -345,8 +348,7 @@ fam AS (
 
 @check(f"WITH {MERGED_SQL} SELECT query_id, doc_id, field, round(score, 6) AS score FROM fam")
 def rank_merge(spark: SparkSession, d: str) -> DataFrame:
-    merged = ranking.merge_families(field_scores(spark, d), full_scores(spark, d))
-    return merged.select("query_id", "doc_id", "field", r6("score").alias("score"))
+    return two_families(spark, d).select("query_id", "doc_id", "field", r6("score").alias("score"))
 
 
 @check(f"""
@@ -359,8 +361,7 @@ SELECT query_id, doc_id, round(score, 6) AS score, row_number() OVER (
   PARTITION BY query_id ORDER BY round(score, 9) DESC NULLS LAST, doc_id) AS rank FROM total
 """)
 def rank_weighted(spark: SparkSession, d: str) -> DataFrame:
-    merged = ranking.merge_families(field_scores(spark, d), full_scores(spark, d))
-    ranked = ranking.rank_weighted(merged, WEIGHTS)
+    ranked = ranking.rank_weighted(two_families(spark, d), WEIGHTS)
     return ranked.select("query_id", "doc_id", r6("score").alias("score"), "rank")
 
 

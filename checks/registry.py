@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from irspark.plans.spread import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def wide_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of long texts, distributed for parsing."""
+    return spread(table(spark, sf_dir, name))
+
+
 def r6(column: Column | str) -> Column:
     """Doubles are compared at six digits."""
     return F.round(column, 6)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.registry import check, r6, table
+from checks.registry import check, r6, table, wide_table
 from irspark.functions import text as T
 from irspark.operators import fields, ranking, tfidf
+from irspark.plans.lineage import materialize
+from irspark.plans.spread import spread
 from irspark.sources import relevance as S
 
 STOP = ["the", "of", "and", "de", "la", "que", "der", "die", "el", "et"]
@@ -18,7 +20,7 @@ CYRILLIC = "абцдефгхийклмнопрстувызеиояюыщшьэ"
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", "text")
+    return wide_table(spark, d, "documents").select("doc_id", "text")
 
 
 def queries(spark: SparkSession, d: str) -> DataFrame:
@@ -143,7 +145,8 @@ def stop_words_removed(spark: SparkSession, d: str) -> DataFrame:
 
 def cyrillic_words(spark: SparkSession, d: str) -> DataFrame:
     text = F.translate(F.lower("text"), LATIN, CYRILLIC)
-    return documents(spark, d).select(F.explode(T.tokenize(text)).alias("word")).distinct()
+    words = documents(spark, d).select(F.explode(T.tokenize(text)).alias("word")).distinct()
+    return spread(materialize(words))
 
 
 STEM_SQL = rf"""

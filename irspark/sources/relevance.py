@@ -65,7 +65,7 @@ def candidates_from_json(df: DataFrame, column: str) -> DataFrame:
 
 def candidates(sample: DataFrame, order: list[Column]) -> DataFrame:
     """Document ids of every query in sample order: query_id, pos, doc_id."""
-    ranked = rank_within(sample.select("query_id", "doc_id", *order), ["query_id"], order, "_rank")
+    ranked = rank_within(sample, ["query_id"], order, "_rank")
     return ranked.select("query_id", (F.col("_rank") - 1).alias("pos"), "doc_id")
 
 
