@@ -13,6 +13,8 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from irspark.functions.binding import let
+
 # Characters a text strip removes (Unicode white space).
 BLANK = "".join(
     chr(c)
@@ -101,15 +103,18 @@ def tag_items(html: Column) -> Column:
     items = F.regexp_extract_all(F.concat(F.lit(_START), html), F.lit(_ITEM), F.lit(0))
 
     def item(m: Column) -> Column:
-        tag = F.lower(F.regexp_extract(m, _HEAD, 1))
         raw = F.split(F.regexp_replace(m, _HEAD, ""), rf"(?is){_SPLIT}", -1)
-        literal = tag.isin("script", "style")
-        runs = F.transform(raw, lambda r: strip(F.when(literal, r).otherwise(unescape(r))))
-        return F.struct(
-            F.when(tag == "no-tag", F.lit("")).otherwise(tag).alias("tag"),
-            F.regexp_extract(m, _HEAD, 2).alias("attrs"),
-            F.filter(runs, lambda r: r != "").alias("runs"),
-        )
+
+        def runs(tag: Column) -> Column:
+            # Script and style hold raw text without references.
+            decoded = F.when(tag.isin("script", "style"), raw).otherwise(F.transform(raw, unescape))
+            return F.struct(
+                F.when(tag == "no-tag", F.lit("")).otherwise(tag).alias("tag"),
+                F.regexp_extract(m, _HEAD, 2).alias("attrs"),
+                F.filter(F.transform(decoded, strip), lambda r: r != "").alias("runs"),
+            )
+
+        return let(F.lower(F.regexp_extract(m, _HEAD, 1)), runs)
 
     return F.transform(items, item)
 

@@ -95,18 +95,18 @@ def page_meta(pages: DataFrame, key: str = "page_id", html: str = "html") -> Dat
 def attr_values(items: Column) -> Column:
     """array<struct<tag, attr, value>> of the non-blank title and alt values, in page order."""
 
-    def of_item(i: Column) -> Column:
-        pairs = H.attributes(i["attrs"])
+    def of_pairs(tag: Column, pairs: Column) -> Column:
         both = F.array(
             *[
-                F.struct(
-                    i["tag"].alias("tag"), F.lit(a).alias("attr"), H.attribute(pairs, a).alias("value")
-                )
+                F.struct(tag.alias("tag"), F.lit(a).alias("attr"), H.attribute(pairs, a).alias("value"))
                 for a in ("title", "alt")
             ]
         )
         return F.filter(both, lambda v: v["value"] != "")
 
+    def of_item(i: Column) -> Column:
+        return let(H.attributes(i["attrs"]), lambda pairs: of_pairs(i["tag"], pairs))
+
     return F.flatten(F.transform(items, of_item))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from irspark.plans.lineage import materialize
-from irspark.plans.ordering import prefix_sum, rank_within, top_within
+from irspark.plans.ordering import prefix_sum, rank_within, rows_per_task, top_within
 from irspark.plans.pairs import pairwise_sum
 from irspark.plans.skew import lookup_join, skew_join
 
@@ -184,13 +184,17 @@ def split_by_query(data: DataFrame, share: float) -> DataFrame:
 
 
 def lambda_gradient(
-    data: DataFrame, score: str = "score", sigma: float = 1.0, k_delta: int | None = None
+    data: DataFrame,
+    score: str = "score",
+    sigma: float = 1.0,
+    k_delta: int | None = None,
+    largest: int | None = None,
 ) -> DataFrame:
-    """Pairwise gradient per document: query_id, doc_id, label, lambda.
+    """Pairwise gradient per document: adds lambda.
 
     Documents of a query with equal label and score have the same gradient, so the sum runs over
     distinct (label, score) cells with their sizes. `k_delta` weights each pair with its change
-    of NDCG at that depth; off by default.
+    of NDCG at that depth; off by default. `largest` bounds the rows of a query, when known.
     """
     if k_delta is not None:
         return _weighted_gradient(data, score, sigma, k_delta)
@@ -203,10 +207,13 @@ def lambda_gradient(
         push = sigma / (1 + F.exp(sigma * (i["h"] - j["h"]) * sign))
         return j["n"] * sign * push
 
-    sums = pairwise_sum(cells, ["query_id"], ["label", "h", "n"], term, "lambda").drop("n")
-    return skew_join(
-        data.withColumn("h", F.col(score)), sums, ["query_id", "label", "h"], salt_on=["doc_id"]
-    ).drop("h")
+    sums = pairwise_sum(
+        cells, ["query_id"], ["label", "h", "n"], term, "lambda", largest
+    ).select("query_id", "label", F.col("h").alias("_h"), "lambda")
+    rows, on = data.withColumn("_h", F.col(score)), ["query_id", "label", "_h"]
+    if largest is not None and largest <= rows_per_task(data):
+        return rows.join(sums, on).drop("_h")
+    return skew_join(rows, sums, on, salt_on=["doc_id"]).drop("_h")
 
 
 def _weighted_gradient(data: DataFrame, score: str, sigma: float, k: int) -> DataFrame:
@@ -305,6 +312,7 @@ def fit(
     rows = rows.select("part", "query_id", "doc_id", "label", "features").withColumn("h", F.lit(0.0))
     # Rows are not gathered by query: a large query would fill one task.
     rows = materialize(rows)
+    largest = rows.groupBy("query_id").count().agg(F.max("count")).first()[0] or 0
     learner = DecisionTreeRegressor(
         featuresCol="vector",
         labelCol="lambda",
@@ -319,7 +327,7 @@ def fit(
     for number in range(n_estimators):
         train = rows.filter(F.col("part") == "train")
         gradient = materialize(
-            lambda_gradient(train, "h", sigma, k_delta).select(
+            lambda_gradient(train, "h", sigma, k_delta, largest).select(
                 "lambda", array_to_vector("features").alias("vector")
             )
         )

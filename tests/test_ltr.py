@@ -113,8 +113,8 @@ def test_boosting_learns(spark, tmp_path):
     scored = ltr.predict(df, loaded)
     assert ltr.average_ndcg(scored, 5).first()[0] > 0.9
     # The label normaliser is an argument.
-    _, plain = ltr.fit(df, 1, normalize=lambda d: d)
-    assert plain[0]["gradient_norm"] == pytest.approx(history[0]["gradient_norm"])
+    plain, _ = ltr.fit(df, 1, learning_rate=0.1, normalize=lambda d: d, metrics=False)
+    assert plain.trees[0] == model.trees[0]
 
 
 def test_matrix_reader(spark, tmp_path):
