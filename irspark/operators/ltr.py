@@ -245,10 +245,8 @@ class LambdaRankModel:
         """Score as one Column: every tree is a nested CASE over the feature array."""
         if not self.trees:
             return F.lit(0.0)
-        total = tree_value(self.trees[0], features) * self.learning_rate
-        for tree in self.trees[1:]:
-            total = total + tree_value(tree, features) * self.learning_rate
-        return total
+        values = F.array(*[tree_value(tree, features) for tree in self.trees])
+        return F.aggregate(values, F.lit(0.0), lambda sum_, x: sum_ + x * self.learning_rate)
 
     def save(self, spark: SparkSession, path: str) -> None:
         rows = [(i, self.learning_rate, json.dumps(t)) for i, t in enumerate(self.trees)]

@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from irspark.plans.limits import BROADCAST_ROWS, ROWS_PER_TASK, limit
 
+# Parts over which an outer join spreads rows whose key is null.
+NULL_PARTS = 4096
+
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
     """Keys with more than `rows` rows, and the number of parts each should be cut into.
@@ -40,10 +45,15 @@ def skew_join(
     on = list(on)
     heavy = F.broadcast(hot_keys(left, on, rows))
     spread = list(salt_on or [c for c, t in left.dtypes if "map<" not in t])
-    salt = F.when(
-        F.col("_parts").isNotNull(),
-        F.pmod(F.xxhash64(*[F.col(c) for c in spread]), F.col("_parts").cast("bigint")).cast("int"),
-    ).otherwise(F.lit(0))
+    row_hash = F.xxhash64(*[F.col(c) for c in spread])
+    no_key = reduce(or_, [F.col(c).isNull() for c in on])
+    # Rows without a key match nothing; any salt will do, so they are spread as well.
+    salt = (
+        F.when(F.col("_parts").isNotNull(), F.pmod(row_hash, F.col("_parts").cast("bigint")))
+        .when(no_key, F.pmod(row_hash, F.lit(NULL_PARTS)))
+        .otherwise(F.lit(0))
+        .cast("int")
+    )
     salted = left.join(heavy, on, "left").withColumn("_salt", salt).drop("_parts")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
     repeated = right.join(heavy, on, "left").withColumn("_salt", copies).drop("_parts")

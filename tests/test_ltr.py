@@ -122,3 +122,25 @@ def test_matrix_reader(spark, tmp_path):
     rows = S.read_matrix(spark, str(tmp_path / "m.csv")).orderBy("doc_id").collect()
     assert [r.doc_id for r in rows] == list(range(12))
     assert rows[5].features == [5.5, 2.0] and rows[5].query_id == 1 and rows[5].label == 2.0
+
+
+def test_many_trees(spark):
+    rng = np.random.default_rng(5)
+
+    def grow(depth):
+        if not depth:
+            return {"value": float(rng.normal())}
+        return {
+            "feature": int(rng.integers(3)), "threshold": float(rng.random()),
+            "left": grow(depth - 1), "right": grow(depth - 1),
+        }
+
+    def walk(tree, x):
+        while "value" not in tree:
+            tree = tree["left"] if x[tree["feature"]] <= tree["threshold"] else tree["right"]
+        return tree["value"]
+
+    model = ltr.LambdaRankModel(0.01, [grow(3) for _ in range(700)])
+    df = frame(spark, n=30)
+    for r in ltr.predict(df, model, "p").collect():
+        assert r.p == pytest.approx(sum(0.01 * walk(t, r.features) for t in model.trees))

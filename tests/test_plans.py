@@ -53,6 +53,13 @@ def test_skew_join_equals_plain_join(spark, skewed, rows_per_task, how):
     assert got[want.columns].equals(want)
 
 
+def test_skew_join_keeps_rows_without_key(spark):
+    left = spark.createDataFrame([(None, i) for i in range(50)] + [(1, 7)], "k long, v long")
+    right = spark.createDataFrame([(1, "a"), (None, "b")], "k long, name string")
+    got = skew_join(left, right, ["k"], "left", rows=10)
+    assert got.count() == 51 and got.filter("name is not null").count() == 1
+
+
 def test_hot_keys_parts(skewed):
     assert [(r.k, r._parts) for r in hot_keys(skewed, ["k"], 50).collect()] == [(0, 5)]
 
