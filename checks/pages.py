@@ -26,6 +26,13 @@ def pages(spark: SparkSession, d: str) -> DataFrame:
     return wide_table(spark, d, "pages")
 
 
+def decoded_sql(column: str) -> str:
+    """Character references of the pages; a name may also stand without its semicolon."""
+    for name, char in (("middot", "chr(183)"), ("copy", "chr(169)"), ("quot", "'\"'"), ("lt", "'<'"), ("gt", "'>'"), ("amp", "'&'")):
+        column = f"regexp_replace({column}, '&{name};?', {char}, 'g')"
+    return column
+
+
 # The SQL finds the last opened tag with a window over all markup of a page.
 RUNS_SQL = f"""
 clean AS (
@@ -49,8 +56,7 @@ tagged AS (
 ),
 run AS (
   SELECT page_id, url, i, coalesce(tag, '') AS tag, trim(CASE WHEN tag = 'style' THEN raw ELSE
-    replace(replace(replace(replace(replace(replace(raw, '&middot;', chr(183)), '&copy;', chr(169)),
-    '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') END, {TRIM}) AS text
+    {decoded_sql('raw')} END, {TRIM}) AS text
   FROM tagged
 )"""
 
@@ -365,10 +371,7 @@ def rank_weighted(spark: SparkSession, d: str) -> DataFrame:
     return ranked.select("query_id", "doc_id", r6("score").alias("score"), "rank")
 
 
-@check("""
-SELECT page_id, md5(replace(replace(replace(replace(html, '&middot;', chr(183)), '&copy;', chr(169)),
-  '&quot;', '"'), '&amp;', '&')) AS decoded FROM pages
-""")
+@check(f"SELECT page_id, md5({decoded_sql('html')}) AS decoded FROM pages")
 def entities(spark: SparkSession, d: str) -> DataFrame:
     """Character references of whole pages."""
     return pages(spark, d).select("page_id", F.md5(H.unescape(F.col("html"))).alias("decoded"))
@@ -493,13 +496,11 @@ merged AS (
 
 @check(f"""
 WITH {GRAPH_SQL}
-SELECT p.page_id, p.url, coalesce(string_agg(l.link, ' ' ORDER BY l.pos), '') AS links
-FROM page p LEFT JOIN link l ON l.page_id = p.page_id GROUP BY 1, 2
+SELECT p.url, coalesce(string_agg(l.link, ' ' ORDER BY l.pos), '') AS links
+FROM page p LEFT JOIN link l ON l.page_id = p.page_id GROUP BY p.page_id, p.url
 """)
 def link_graph(spark: SparkSession, d: str) -> DataFrame:
-    built = graph.link_graph(pages(spark, d))
-    side = pages(spark, d).select("page_id", U.normalize_url(F.col("url")).alias("url"))
-    return built.join(side, "url").select("page_id", "url", F.array_join("links", " ").alias("links"))
+    return graph.link_graph(pages(spark, d)).select("url", F.array_join("links", " ").alias("links"))
 
 
 @check(f"WITH {GRAPH_SQL} SELECT url, link, times FROM merged")

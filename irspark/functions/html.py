@@ -42,6 +42,8 @@ _ATTR = r"""([^\s=/>"']+)\s*(?:=\s*(?:"[^"]*"|'[^']*'|[^\s>"']*))?"""
 
 # Named characters that make up nearly all references; looked up before the full list.
 _FREQUENT = ["amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "middot;"]
+# Names that count without a closing semicolon, also in front of other letters; longest first.
+_OPEN_NAMES = "^(" + "|".join(sorted((k for k in html5 if k[-1] != ";"), key=len, reverse=True)) + ")"
 _REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)"
 
 
@@ -69,9 +71,14 @@ def unescape(text: Column) -> Column:
         valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
         numeric = F.when(valid, char).otherwise("�")
-        named = F.coalesce(
-            F.element_at(frequent, ref), F.element_at(every, ref), F.concat(F.lit("&"), ref)
+        opened = let(
+            F.regexp_extract(ref, _OPEN_NAMES, 1),
+            lambda name: F.concat(
+                F.coalesce(F.element_at(every, name), F.lit("&")),
+                F.substring(ref, F.length(name) + 1, F.length(ref)),
+            ),
         )
+        named = F.coalesce(F.element_at(frequent, ref), F.element_at(every, ref), opened)
         return F.when(ref.startswith("#"), numeric).otherwise(named)
 
     tail = F.concat(F.transform(found, decoded), F.array(F.lit("")))

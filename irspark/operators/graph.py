@@ -10,7 +10,7 @@ from irspark.operators.html import page_links
 from irspark.plans.limits import BROADCAST_ROWS, ROWS_PER_TASK, limit
 from irspark.plans.lineage import materialize
 from irspark.plans.ordering import row_index, top_rows
-from irspark.plans.skew import lookup_join, skew_join
+from irspark.plans.skew import hot_keys, lookup_join, skew_join
 
 
 def attach_urls(pages: DataFrame, urls: DataFrame, key: str = "id") -> DataFrame:
@@ -61,18 +61,21 @@ def number_urls(graph: DataFrame) -> tuple[DataFrame, DataFrame]:
     dictionary = row_index(names, [F.col("url").asc()], "id").select("id", "url")
     sources = skew_join(merged, dictionary, ["url"], salt_on=["link"])
     targets = dictionary.select(F.col("id").alias("link_id"), F.col("url").alias("link"))
-    numbered = skew_join(sources, targets, ["link"], "left", salt_on=["url"])
+    popular = hot_keys(merged, ["link"])
+    numbered = skew_join(sources, targets, ["link"], "left", salt_on=["url"], heavy=popular)
     return dictionary, numbered.select("id", "link_id", "times")
 
 
 def graph_stats(graph: DataFrame, count_targets: bool = False) -> DataFrame:
-    """Pages, pages without links and their share; optionally with pages only linked to."""
+    """Pages, pages without links and their share; optionally with pages only linked to.
+
+    Rows of equal urls are one page.
+    """
     rows = graph.select("url", (F.size("links") == 0).cast("int").alias("empty"))
     if count_targets:
-        known = graph.select("url")
-        only = edges(graph).select(F.col("dst").alias("url")).distinct().join(known, "url", "left_anti")
-        rows = rows.unionByName(only.withColumn("empty", F.lit(1)))
-    return rows.agg(
+        targets = edges(graph).select(F.col("dst").alias("url")).withColumn("empty", F.lit(1))
+        rows = rows.unionByName(targets)
+    return rows.groupBy("url").agg(F.min("empty").alias("empty")).agg(
         F.count(F.lit(1)).alias("pages"), F.sum("empty").alias("without_links")
     ).withColumn("share", F.col("without_links") / F.col("pages"))
 

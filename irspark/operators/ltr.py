@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from irspark.plans.lineage import materialize
 from irspark.plans.ordering import prefix_sum, rank_within, rows_per_task, top_within
 from irspark.plans.pairs import pairwise_sum
-from irspark.plans.skew import lookup_join, skew_join
+from irspark.plans.skew import hot_keys, lookup_join, skew_join
 
 GAINS = ("exponential", "linear")
 
@@ -218,12 +218,13 @@ def lambda_gradient(
 
 def _weighted_gradient(data: DataFrame, score: str, sigma: float, k: int) -> DataFrame:
     """Gradient with pairs weighted by the change of NDCG; only pairs touching the best k count."""
-    deltas = delta_ndcg(data, k, "exponential", score)
+    deltas = materialize(delta_ndcg(data, k, "exponential", score))
     side = data.select("query_id", "doc_id", F.col("label").cast("double"), F.col(score).alias("h"))
     i = side.select("query_id", F.col("doc_id").alias("doc_i"), F.col("label").alias("y_i"), F.col("h").alias("h_i"))
     j = side.select("query_id", F.col("doc_id").alias("doc_j"), F.col("label").alias("y_j"), F.col("h").alias("h_j"))
     pairs = skew_join(deltas, i, ["query_id", "doc_i"], salt_on=["doc_j"])
-    pairs = skew_join(pairs, j, ["query_id", "doc_j"], salt_on=["doc_i"])
+    heavy = hot_keys(deltas, ["query_id", "doc_j"])
+    pairs = skew_join(pairs, j, ["query_id", "doc_j"], salt_on=["doc_i"], heavy=heavy)
     sign = F.signum(F.col("y_i") - F.col("y_j"))
     push = sigma / (1 + F.exp(sigma * (F.col("h_i") - F.col("h_j")) * sign))
     sums = pairs.groupBy("query_id", F.col("doc_i").alias("doc_id")).agg(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from irspark.functions.text import fold_tokens, remove_stop_words
 from irspark.plans.lineage import materialize
 from irspark.plans.ordering import top_rows
-from irspark.plans.skew import lookup_join, skew_join
+from irspark.plans.skew import hot_keys, lookup_join, skew_join
 
 
 def term_counts(
@@ -98,9 +98,10 @@ def lookup(requests: DataFrame, weights: DataFrame, pages: DataFrame) -> DataFra
     asked = requests.withColumn("_term", F.lower(F.trim("term")))
     present = pages.select("doc_id", F.lit(0.0).alias("_zero"))
     known = weights.select("doc_id", F.col("term").alias("_term"), "weight")
-    marked = skew_join(asked, present, ["doc_id"], "left")
+    heavy = hot_keys(requests, ["doc_id"])
+    marked = skew_join(asked, present, ["doc_id"], "left", heavy=heavy)
     return (
-        skew_join(marked, known, ["doc_id", "_term"], "left")
+        skew_join(marked, known, ["doc_id", "_term"], "left", heavy=heavy)
         .withColumn("weight", F.coalesce("weight", "_zero"))
         .drop("_term", "_zero")
     )
@@ -135,12 +136,14 @@ def score(
     )
     terms = words.select(F.explode("tokens").alias("term")).distinct()
     used = lookup_join(weights, terms, ["term"], "left_semi")
-    hits = skew_join(asked, used, ["doc_id", "term"], salt_on=["query_id"]).select(
+    # A (document, term) pair is asked often only if its document is a candidate of many queries.
+    heavy = hot_keys(pairs, ["doc_id"])
+    hits = skew_join(asked, used, ["doc_id", "term"], salt_on=["query_id"], heavy=heavy).select(
         *keys, F.col("weight").alias("score")
     )
 
     present = pages.select("doc_id", F.lit(0.0).alias("score"))
-    base = skew_join(pairs, present, ["doc_id"], "left", salt_on=["query_id"])
+    base = skew_join(pairs, present, ["doc_id"], "left", salt_on=["query_id"], heavy=heavy)
     if fields:
         base = base.withColumn("field", F.explode(F.array(*[F.lit(f) for f in fields])))
     return base.select(*keys, "score").unionByName(hits).groupBy(*keys).agg(

@@ -36,14 +36,17 @@ def skew_join(
     how: str = "inner",
     rows: int | None = None,
     salt_on: Sequence[str] | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Join `left`, which may have hot keys, with `right`, which has few rows per key.
 
-    Rows of a hot key are spread over several parts by a hash of the row, and the matching
-    right rows are repeated once per part. Other keys keep part 0.
+    Rows of a hot key are spread over several parts by a hash of the row (or of `salt_on`), and
+    the matching right rows are repeated once per part. Other keys keep part 0. `heavy` names the
+    hot keys, or hot values of some of the key columns, when a cheaper table than `left` tells.
     """
     on = list(on)
-    heavy = F.broadcast(hot_keys(left, on, rows))
+    heavy = F.broadcast(hot_keys(left, on, rows) if heavy is None else heavy)
+    by = [c for c in heavy.columns if c != "_parts"]
     spread = list(salt_on or [c for c, t in left.dtypes if "map<" not in t])
     row_hash = F.xxhash64(*[F.col(c) for c in spread])
     no_key = reduce(or_, [F.col(c).isNull() for c in on])
@@ -54,9 +57,9 @@ def skew_join(
         .otherwise(F.lit(0))
         .cast("int")
     )
-    salted = left.join(heavy, on, "left").withColumn("_salt", salt).drop("_parts")
+    salted = left.join(heavy, by, "left").withColumn("_salt", salt).drop("_parts")
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
-    repeated = right.join(heavy, on, "left").withColumn("_salt", copies).drop("_parts")
+    repeated = right.join(heavy, by, "left").withColumn("_salt", copies).drop("_parts")
     return salted.join(repeated, on + ["_salt"], how).drop("_salt")
 
 
