@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import base64
+import sys
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,10 @@ from irspark.sources import relevance as S
 TRIM = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ' || chr(160)"
 
 
+# Workers get the functions of this module with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def pages(spark: SparkSession, d: str) -> DataFrame:
     return wide_table(spark, d, "pages")
 

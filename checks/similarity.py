@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +13,10 @@ from checks.registry import check, r6, table
 from irspark.operators import vectors
 
 
+# Workers get the functions of this module with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def centroids(rows: DataFrame, *by: str) -> DataFrame:
     """Mean vector per group: by, embedding."""
     cells = rows.select(*by, F.posexplode("embedding").alias("pos", "x"))

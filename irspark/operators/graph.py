@@ -12,6 +12,9 @@ from irspark.plans.lineage import materialize
 from irspark.plans.ordering import row_index, top_rows
 from irspark.plans.skew import hot_keys, lookup_join, skew_join
 
+# Edges that make up one stored bucket.
+EDGES_PER_BUCKET = 50_000
+
 
 def attach_urls(pages: DataFrame, urls: DataFrame, key: str = "id") -> DataFrame:
     """Give pages their normalised url from the id -> url side table."""
@@ -86,11 +89,18 @@ def _merged_edges(graph_edges: DataFrame) -> DataFrame:
     return graph_edges.groupBy("src", "dst").agg(times.cast("double").alias("times"))
 
 
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def _buckets(merged: DataFrame) -> int:
+    """Hash buckets for the stored edges and vertices, from the counted edges.
+
+    At least one per core, so that every core reads, and no more than the shuffle partitions.
+    """
+    spark = merged.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    wanted = -(-merged.count() // EDGES_PER_BUCKET)
+    return min(most, max(spark.sparkContext.defaultParallelism, wanted))
 
 
-def _placed_by(merged: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+def _placed_by(merged: DataFrame, key: str, buckets: int) -> tuple[DataFrame, DataFrame]:
     """Edges stored once by `key`, hot keys cut into parts, and per key its parts and degree.
 
     The stored edges never move again; in every round only vertex values travel to them, once
@@ -105,7 +115,7 @@ def _placed_by(merged: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     hot = F.broadcast(stats.filter(F.col("parts") > 1).select(key, "parts"))
     part = F.pmod(F.xxhash64(other), F.coalesce(F.col("parts"), F.lit(1)).cast("bigint")).cast("int")
     placed = merged.join(hot, key, "left").select("src", "dst", "times", part.alias("part"))
-    return materialize(placed, [key, "part"], _partitions(merged)), stats
+    return materialize(placed, [key, "part"], buckets), stats
 
 
 def _messages(values: DataFrame, key: str, value: Column, parts: str) -> DataFrame:
@@ -147,11 +157,12 @@ def pagerank(
     as often as they occur. `vertices` may name pages that have no edge at all.
     """
     merged = materialize(_merged_edges(graph_edges))
-    placed, stats = _placed_by(merged, "src")
+    buckets = _buckets(merged)
+    placed, stats = _placed_by(merged, "src", buckets)
     base = materialize(
         _vertices(merged, vertices).join(stats.withColumnRenamed("src", "id"), "id", "left"),
         ["id"],
-        _partitions(merged),
+        buckets,
     )
     n = base.count()
     ranks = base.withColumn("rank", F.lit(1.0 / max(n, 1)))
@@ -179,14 +190,15 @@ def hits(
     round to round; with it both vectors are scaled to unit length in every round.
     """
     merged = materialize(_merged_edges(graph_edges))
-    by_src, out_stats = _placed_by(merged, "src")
-    by_dst, in_stats = _placed_by(merged, "dst")
+    buckets = _buckets(merged)
+    by_src, out_stats = _placed_by(merged, "src", buckets)
+    by_dst, in_stats = _placed_by(merged, "dst", buckets)
     out_parts = out_stats.select(F.col("src").alias("id"), F.col("parts").alias("out_parts"))
     in_parts = in_stats.select(F.col("dst").alias("id"), F.col("parts").alias("in_parts"))
     base = materialize(
         _vertices(merged, vertices).join(out_parts, "id", "left").join(in_parts, "id", "left"),
         ["id"],
-        _partitions(merged),
+        buckets,
     )
     scores = base.withColumns({"hub": F.lit(1.0), "authority": F.lit(1.0)})
     for i in range(iterations):
