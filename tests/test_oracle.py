@@ -6,9 +6,9 @@ import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare, connect
+from checks.registry import QUERIES, SQL
 
 DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
