@@ -1,4 +1,4 @@
 """All queries of the subpackage."""
 
-from irspark.llm import query_layout, query_quality, query_tokens  # noqa: F401
+from irspark.llm import query_layout, query_quality, query_search, query_tokens  # noqa: F401
 from irspark.llm.registry import QUERIES, SQL  # noqa: F401
