@@ -16,14 +16,18 @@ repeated task leaves no half-written file behind.
 from __future__ import annotations
 
 import functools
+import itertools
+import re
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,8 +39,26 @@ _HEAD = struct.Struct("<4sIQI")
 _DOC = np.dtype([("doc_id", "<i8"), ("is_null", "u1"), ("n", "<i8")])
 _RANK = 64  # bytes of bitmap per entry of the rank directory
 _SEGMENT_IDS = 1_000_000
-_PIECES_KEPT = 300_000
+_PIECES_KEPT = 400_000
+# Bytes of text that are cut into pieces at once.
+_TEXT_BYTES = 4_000_000
 _PIECE_BYTES = 64
+# Marks between an ASCII or Latin-1 letter or a digit and white space or the end; an apostrophe
+# may begin a suffix.
+_LAST_MARKS = re.compile(
+    rb"([a-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([^\sa-z0-9\x80-\xff']+)(?=\s|\Z)")
+# One word of such letters, which composition leaves alone.
+_LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+
+
+def _byte_symbols() -> dict[int, int]:
+    """The printable character that stands for each byte: itself, or the next one from U+0100."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = itertools.count(0x100)
+    return {b: b if b in plain else next(others) for b in range(256)}
+
+
+_SYMBOLS = _byte_symbols()
 
 
 def pack(docs: Sequence[tuple[int | None, np.ndarray]]) -> bytes:
@@ -105,7 +127,12 @@ class Segment:
 
 
 class LibraryEncoder:
-    """The tokenizers library on pieces between ASCII white space, over which no token reaches."""
+    """The tokenizers library, asked once for each frequent piece of text.
+
+    Texts are cut where no token can reach over: at ASCII white space, and before punctuation
+    between a Latin letter or digit and such white space. Case is folded before, as the library
+    would do, so that more pieces are equal.
+    """
 
     def __init__(self, vocabulary: str):
         import os
@@ -116,21 +143,39 @@ class LibraryEncoder:
         self._library = Tokenizer.from_str(vocabulary)
         self._library.no_truncation()
         self._library.no_padding()
+        self._model = self._library.model
         self._kept: dict[bytes, bytes] = {}
 
+    def _pieces(self, text: bytes) -> list[bytes]:
+        folded = text.lower()
+        if b"<|" in folded:  # names of special tokens keep their case
+            return text.split()
+        return _LAST_MARKS.sub(rb"\1 \2", folded).split()
+
+    def _new(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of the pieces; words of plain letters go to the library's model directly."""
+        out, others, tokenize = {}, [], self._model.tokenize
+        for p in pieces:
+            if p.isalpha() and p.islower():  # of bytes, these mean a to z
+                out[p] = array("I", [t.id for t in tokenize(p.decode())]).tobytes()
+            elif _LETTERS.fullmatch(word := p.decode().lower()):
+                symbols = word.encode().decode("latin-1").translate(_SYMBOLS)
+                out[p] = array("I", [t.id for t in tokenize(symbols)]).tobytes()
+            else:
+                others.append(p)
+        found = self._library.encode_batch_fast([p.decode() for p in others], add_special_tokens=False)
+        return out | {p: array("I", e.ids).tobytes() for p, e in zip(others, found)}
+
     def encode(self, texts: Sequence[bytes]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]
-        new = list({p for pieces in split for p in pieces if p not in self._kept})
-        found = self._library.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)
-        ids = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(new, found)}
-        kept = self._kept
-        out = [b"".join([kept[p] if p in kept else ids[p] for p in pieces]) for pieces in split]
-        for p, value in ids.items():
-            if len(kept) >= _PIECES_KEPT:
-                break
-            if len(p) <= _PIECE_BYTES:
-                kept[p] = value
+        split, kept = [self._pieces(t) for t in texts], self._kept
+        room = _PIECES_KEPT - len(kept)
+        new = self._new(list(set().union(*split) - kept.keys()))
+        kept.update(new)
+        out = [b"".join(map(kept.__getitem__, pieces)) for pieces in split]
+        for i, p in enumerate(new):
+            if i >= room or len(p) > _PIECE_BYTES:
+                del kept[p]
         return out
 
 
@@ -167,9 +212,11 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-            for first in range(0, len(keys), 500):
-                some = [t or b"" for t in texts.slice(first, 500).to_pylist()]
-                for key, ids in zip(keys[first : first + 500], encoder.encode(some)):
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = np.flatnonzero(np.diff(sizes // _TEXT_BYTES, prepend=0)) if len(keys) else []
+            for first, end_row in itertools.pairwise([0, *cuts, len(keys)]):
+                some = [t or b"" for t in texts.slice(first, end_row - first).to_pylist()]
+                for key, ids in zip(keys[first:end_row], encoder.encode(some)):
                     ids = np.frombuffer(ids + end, "<u4")
                     waiting.append((key, ids))
                     held += len(ids)

@@ -18,6 +18,7 @@ from .conftest import DIR
 CONTENT = open(vocabulary_path(), encoding="utf-8").read()
 LIBRARY = Tokenizer.from_str(CONTENT)
 CODEC = bpe.WordBpe(CONTENT)
+ENCODER = tokens.LibraryEncoder(CONTENT)
 ODD = [None, "", " \t\n", "a", "Don't  STOP'll 12٣ é é Σας İ", "x<|endoftext|>Y<|startoftext|>", "a\x1cb\x85c",
        "中文字🙂" * 50, "ab" * 40_000, "aaaa" * 3000, "the cat " * 20_000]
 
@@ -34,6 +35,14 @@ def test_codec_equals_library(text):
     own = CODEC.encode(text.encode())
     assert np.frombuffer(own, "<u4").tolist() == ids
     assert CODEC.decode(own).decode() == decoded
+    assert np.frombuffer(ENCODER.encode([text.encode()])[0], "<u4").tolist() == ids
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.sampled_from(["a", "Ab", "s", "'", "'s", ".", ",", "1", " ", "\n", "<|endoftext|>", "<|", "<|ENDOFTEXT|>", "é", "É", "÷", "ß", "ÿ", "×", "à", "\u0301", "\u0338", "=", "\x1c", "«", "\u3000"]), max_size=14))
+def test_library_encoder_pieces(parts):
+    text = "".join(parts)
+    assert np.frombuffer(ENCODER.encode([text.encode()])[0], "<u4").tolist() == expected(text)[0]
 
 
 def test_encode_decode_odd_rows(documents):
