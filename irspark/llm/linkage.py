@@ -1,34 +1,22 @@
 """All links between sets that share a bucket, without listing the pairs of a bucket.
 
 First every set is compared with one leader of each of its buckets: the member that shares most
-with others. Links to leaders join the bulk of a group. What is left are pairs, neither of them
-the leader, whose components differ. They are found by an exact bound: shingles that occur in one
-set alone can't be shared, so two sets with m and n others of |a| and |b| have a similarity of at
-most min(m, n) / (|a| + |b| - min(m, n)). Every set thus knows the range of sizes its partners can
-have, and only sets that lie in each other's range meet. No partner is left out.
+with others. Links to leaders join the bulk of a group. What is left are pairs of one bucket,
+neither of them the leader, whose components differ. The caller compares these whole, inside a
+task or a join that gives the links alone, so no partner is left out and no pair is listed.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from irspark.llm.components import components
 from irspark.plans.lineage import materialize
 from irspark.plans.skew import hot_keys, lookup_join, skew_join
 
-# Sizes within this ratio are one class.
-_CLASS_RATIO = 1.05
-
-
-def similar(shared: Column, a: Column, b: Column, percent: int) -> Column:
-    """Whether 100 * intersection >= percent * union, from the sizes."""
-    return 100 * shared >= percent * (a + b - shared)
-
-
 def shared_buckets(buckets: DataFrame) -> DataFrame:
     """Rows (key, id) of buckets that hold two different ids, each once, as a written table."""
     marked = buckets.select("key", F.xxhash64("id").alias("h"))
@@ -44,46 +32,28 @@ def _leaders(live: DataFrame) -> DataFrame:
     return materialize(best.select("key", F.col("best.id").alias("leader")))
 
 
-def _rest(live: DataFrame, leaders: DataFrame, roots: DataFrame, percent: int,
-          shingles_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Pairs (a, b) of one bucket, a < b, that can still link two components."""
+def _open(live: DataFrame, leaders: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, id, root of buckets whose members, without the leader, are in several components.
+
+    Of buckets with the same members, one stays.
+    """
     placed = lookup_join(live, roots.select(F.col("node").alias("id"), "root"), ["id"], "left")
     placed = placed.withColumn("root", F.coalesce("root", "id"))
-    # Leaders have met all others of their bucket.
     placed = lookup_join(placed, leaders, ["key"]).filter("id <> leader").select("key", "id", "root")
-    placed = materialize(placed.withColumn("h", F.xxhash64("root")))
-    mixed = placed.groupBy("key").agg(F.min("h").alias("l"), F.max("h").alias("m")).filter("l <> m").select("key")
-    open_ = materialize(lookup_join(placed, materialize(mixed), ["key"]).select("key", "id", "root"))
-    ids = materialize(open_.select("id").distinct())
-    shingles = materialize(shingles_of(ids))
-    # Occurrences of each shingle; those of one set alone are its own. A set lists each once.
-    once = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).filter("n = 1")
-    own = once.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
-    sizes = shingles.groupBy("id").agg(F.count(F.lit(1)).alias("size"))
-    size, rest = F.col("size"), F.col("size") - F.coalesce("own", F.lit(0))
-    low = F.ceil(size * percent / 100)
-    # From min(m, n) <= m: 100 m >= percent (|a| + |b| - m), solved for |b|.
-    high = F.least(F.floor(size * 100 / percent), F.floor(rest * (100 + percent) / percent) - size)
-    number = lambda n: F.floor(F.log(n.cast("double")) / math.log(_CLASS_RATIO)).cast("int")
-    ranges = sizes.join(own, "id", "left").select("id", number(size).alias("own_class"), low.alias("low"), high.alias("high"))
-    ranges = ranges.filter("low <= high").withColumns({"first": number(F.col("low")), "last": number(F.col("high"))})
-    reach = materialize(ranges.select("id", "own_class", F.explode(F.sequence("first", "last")).alias("other_class")))
-    by_id = open_.join(reach, "id")
-    # (own class, class sought) of one side is (class sought, own class) of the other.
-    left = by_id.select("key", F.col("own_class").alias("x"), F.col("other_class").alias("y"), F.col("id").alias("a"), F.col("root").alias("ra"))
-    right = by_id.select("key", F.col("other_class").alias("x"), F.col("own_class").alias("y"), F.col("id").alias("b"), F.col("root").alias("rb"))
-    met = left.join(right, (left["key"] == right["key"]) & (left["x"] == right["x"]) & (left["y"] == right["y"])
-                    & (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")))
-    return met.select("a", "b").distinct()
-
-
-def link(buckets: DataFrame, percent: int, verify: Callable[[DataFrame], DataFrame],
-         shingles_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Components (node, root) of the ids of `buckets` (key, id), linked where `verify` says so.
-
-    `verify` gets candidate pairs (a, b) and returns those that are similar; `shingles_of` gets
-    ids (id) and returns each id's distinct shingles (id, shingle). Ids without a link are not
-    listed.
+    placed = materialize(placed.withColumns({"h": F.xxhash64("root"), "i": F.xxhash64("id").cast("decimal(20,0)")}))
+    buckets = placed.groupBy("key").agg(F.min("h").alias("l"), F.max("h").alias("m"), F.sum("i").alias("members"),
+                                        F.count(F.lit(1)).alias("n"))
+    kept = buckets.filter("l <> m").groupBy("members", "n").agg(F.min("key").alias("key"))
+    return materialize(lookup_join(placed, materialize(kept.select("key", "n")), ["key"]).select("key", "n", "id", "root"))
+
+
+def link(buckets: DataFrame, verify: Callable[[DataFrame], DataFrame],
+         rest: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Components (node, root) of the ids of `buckets` (key, id).
+
+    `verify` gets candidate pairs (a, b) and returns those that are similar. `rest` gets buckets
+    (key, n members, id, root) and returns the similar pairs (a, b) of one bucket with different
+    roots. Ids without a link are not listed.
     """
     live = shared_buckets(buckets)
     leaders = _leaders(live)
@@ -91,7 +61,7 @@ def link(buckets: DataFrame, percent: int, verify: Callable[[DataFrame], DataFra
         F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
     links = materialize(verify(materialize(pairs)).select("a", "b"))
     roots = materialize(components(links))
-    more = materialize(verify(materialize(_rest(live, leaders, roots, percent, shingles_of))).select("a", "b"))
+    more = materialize(rest(_open(live, leaders, roots)).select("a", "b").distinct())
     if more.isEmpty():
         return roots
     stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from irspark.llm.linkage import link, with_values
 from irspark.plans.lineage import materialize
-from irspark.plans.skew import lookup_join
+from irspark.plans.skew import hot_keys, lookup_join, skew_join
 
 # 32 bands of 4 coordinates miss a pair of similarity 0.8 with probability (1 - 0.8^4)^32 < 1e-7.
 COORDINATES, BAND = 128, 4
@@ -28,6 +28,8 @@ COORDINATES, BAND = 128, 4
 _LEAST_AGREEMENT = 0.62
 # Pairs of one leader that one task compares, and words whose hash a worker keeps.
 _PAIRS, _WORDS_KEPT = 2_000, 300_000
+# Members of a bucket that are compared at once with as many others.
+_BLOCK = 256
 # Documents that are sketched at once, by bytes of text.
 _TEXT_BYTES = 4_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -190,6 +192,72 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def _compare(left: list[tuple], right: list[tuple], percent: int, same: bool) -> Iterator[tuple[bytes, bytes]]:
+    """Similar pairs of (id, root, band, bands, sketch, shingles) members of one bucket.
+
+    Pairs meet in the first band that they share, need different roots, and are dropped by their
+    sketches or their sizes before whole sets are intersected.
+    """
+    roots = [np.array([hash(m[1]) for m in side]) for side in (left, right)]
+    keys = [np.array([m[3] for m in side]) for side in (left, right)]
+    sketches = [np.frombuffer(b"".join(m[4] for m in side), np.uint8).reshape(len(side), -1) for side in (left, right)]
+    sizes = [np.array([len(m[5]) for m in side]) for side in (left, right)]
+    for i, one in enumerate(left):
+        first = i + 1 if same else 0
+        if first >= len(right):
+            continue
+        shared = keys[1][first:] == keys[0][i]
+        may = (shared.argmax(axis=1) == one[2]) & shared.any(axis=1) & (roots[1][first:] != roots[0][i])
+        may &= 100 * np.minimum(sizes[1][first:], sizes[0][i]) >= percent * np.maximum(sizes[1][first:], sizes[0][i])
+        rows = first + np.flatnonzero(may)
+        rows = rows[(sketches[1][rows] == sketches[0][i]).mean(axis=1) >= _LEAST_AGREEMENT]
+        for k in rows:
+            other = right[k]
+            n = len(np.intersect1d(one[5], other[5], assume_unique=True))
+            if 100 * n >= percent * (len(one[5]) + len(other[5]) - n):
+                yield one[0], other[0]
+
+
+def _linked_in_buckets(open_: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """Similar pairs (a, b) of one bucket with different roots; members: id, bands, sketch, s.
+
+    A bucket is cut into blocks of bounded size, and every two of its blocks meet in one group of
+    rows of a task, which gives the links alone.
+    """
+    blocks = F.ceil(F.col("n") / _BLOCK).cast("int")
+    placed = open_.withColumn("block", F.pmod(F.xxhash64("id"), blocks.cast("bigint")).cast("int"))
+    each = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    met = placed.select("key", "id", "root", "block", each)
+    met = met.select("key", "id", "root", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
+    full = skew_join(met, members, ["id"], rows=_PAIRS, salt_on=["key", "x", "y"], heavy=hot_keys(met, ["id"], _PAIRS))
+    at = (F.array_position("bands", F.col("key")) - 1).cast("int").alias("band")
+    full = full.select("key", "x", "y", "block", "id", "root", at, "bands", "sketch", "s")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(group: tuple, rows: list[tuple]) -> pa.RecordBatch:
+            left = [r[1:] for r in rows if r[0] == group[1]]
+            right = left if group[1] == group[2] else [r[1:] for r in rows if r[0] == group[2]]
+            found = list(_compare(left, right, percent, group[1] == group[2]))
+            return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], names=["a", "b"])
+
+        group, rows = None, []
+        for batch in batches:
+            columns = [batch.column(i) for i in range(10)]
+            lists = [[v.values.to_numpy(zero_copy_only=False) for v in columns[i]] for i in (7, 9)]
+            plain = [columns[i].to_pylist() for i in (0, 1, 2, 3, 4, 5, 6, 8)]
+            for (key, x, y, *row), keys, values in zip(zip(*plain), *lists):
+                if group != (key, x, y):
+                    if len(rows) > 1:
+                        yield done(group, rows)
+                    group, rows = (key, x, y), []
+                block, id_, root, band, sketched = row
+                rows.append((block, id_, root, band, keys, sketched, values.view(np.uint64)))
+        if len(rows) > 1:
+            yield done(group, rows)
+
+    return full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id: str = "doc_id",
                     text: str = "text", columns: list[str] | None = None) -> DataFrame:
     """Components of documents that are linked by similar sets of word shingles.
@@ -224,16 +292,19 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
         likely = materialize(_agreeing(pairs, materialize(chosen(ids_of(pairs), ["sketch"]))))
         return _verified(likely, texts(ids_of(likely)), width, percent)
 
-    def shingles_of(ids: DataFrame) -> DataFrame:
+    def rest(open_: DataFrame) -> DataFrame:
+        ids = materialize(open_.select("id").distinct())
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [shingles(t.as_py(), width).view(np.int64) for t in batch.column(1).cast(pa.binary())]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "s"])
 
         listed = texts(ids).mapInArrow(run, "id binary, s array<bigint>")
-        return listed.select("id", F.explode("s").alias("shingle"))
+        members = materialize(listed.join(chosen(ids, ["bands", "sketch"]), "id"))
+        return _linked_in_buckets(open_, members, percent)
 
-    roots = link(buckets, percent, verify, shingles_of)
+    roots = link(buckets, verify, rest)
     return _labelled(signed, roots, doc_id, columns)
 
 
