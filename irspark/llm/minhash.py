@@ -29,7 +29,7 @@ _LEAST_AGREEMENT = 0.62
 # Pairs of one leader that one task compares, and words whose hash a worker keeps.
 _PAIRS, _WORDS_KEPT = 2_000, 300_000
 # Members of a bucket that are compared at once with as many others.
-_BLOCK = 256
+_BLOCK = 1_024
 # Documents that are sketched at once, by bytes of text.
 _TEXT_BYTES = 4_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
