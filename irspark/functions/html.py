@@ -33,8 +33,9 @@ _ATTRS = r"""(?:[^>"']++|"[^"]*"|'[^']*'|["'])*+"""
 _SPLIT = r"</[^>]*>|<!--.*?-->|<[!?][^>]*>"
 _BODY = rf"(?:[^<]++|{_SPLIT}|<[^a-zA-Z/!?<])*+"
 _ITEM = (
-    rf"(?is)<script(?:[\s/]{_ATTRS})?>.*?</script[^>]*>{_BODY}"
-    rf"|<style(?:[\s/]{_ATTRS})?>.*?</style[^>]*>{_BODY}"
+    # A body that is never closed runs to the end of the page.
+    rf"(?is)<script(?:[\s/]{_ATTRS})?>.*?(?:</script[^>]*>{_BODY}|\z)"
+    rf"|<style(?:[\s/]{_ATTRS})?>.*?(?:</style[^>]*>{_BODY}|\z)"
     rf"|<[a-z][^\s/>]*{_ATTRS}>{_BODY}"
 )
 _HEAD = rf"(?is)^<([a-z][^\s/>]*)({_ATTRS})>"
@@ -44,6 +45,10 @@ _ATTR = r"""([^\s=/>"']+)\s*(?:=\s*(?:"[^"]*"|'[^']*'|[^\s>"']*))?"""
 _FREQUENT = ["amp;", "lt;", "gt;", "quot;", "apos;", "nbsp;", "copy;", "middot;"]
 # Names that count without a closing semicolon, also in front of other letters; longest first.
 _OPEN_NAMES = "^(" + "|".join(sorted((k for k in html5 if k[-1] != ";"), key=len, reverse=True)) + ")"
+# Characters of the bytes 128 to 159 in windows-1252; a byte without one stands for its own code.
+_WINDOWS_1252 = [
+    bytes([b]).decode("windows-1252", "ignore") or chr(b) for b in range(0x80, 0xA0)
+]
 _REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[a-zA-Z][a-zA-Z0-9]*;?)"
 
 
@@ -55,6 +60,32 @@ def _names(names: dict[str, str]) -> Column:
     return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
 
+def _number(ref: Column) -> Column:
+    """Code of a numeric reference such as `#65;` or `#x41;`; one past the last if it is larger."""
+    digits = F.rtrim(F.substring(ref, F.lit(2), F.length(ref)), F.lit(";"))
+    is_hex = F.lower(F.substring(digits, 1, 1)) == "x"
+    shown = F.regexp_replace(F.when(is_hex, F.substring(digits, F.lit(2), F.length(digits))).otherwise(digits), "^0+", "")
+    # No code that counts has more than seven digits.
+    code = F.when(is_hex, F.conv(shown, 16, 10)).otherwise(shown).try_cast("bigint")
+    return F.when(shown == "", F.lit(0)).when(F.length(shown) > 7, F.lit(0x110000)).otherwise(code)
+
+
+def _character(number: Column) -> Column:
+    """Character of a code; 128 to 159 are windows-1252, other control and non-characters vanish."""
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    gone = (
+        number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127)
+        | number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
+    )
+    invalid = (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF)
+    return (
+        F.when(invalid, "�")
+        .when(number.between(0x80, 0x9F), F.get(F.array(*[F.lit(c) for c in _WINDOWS_1252]), (number - 0x80).cast("int")))
+        .when(gone, "")
+        .otherwise(char)
+    )
+
+
 def unescape(text: Column) -> Column:
     """Replace character references, each once; unknown ones stay."""
     frequent = _names({k: html5[k] for k in _FREQUENT})
@@ -63,14 +94,7 @@ def unescape(text: Column) -> Column:
     pieces = F.split(text, _REFERENCE, -1)
 
     def decoded(ref: Column) -> Column:
-        digits = F.rtrim(F.substring(ref, 2, 12), F.lit(";"))
-        code = F.when(
-            F.lower(F.substring(digits, 1, 1)) == "x", F.conv(F.substring(digits, 2, 10), 16, 10)
-        ).otherwise(digits)
-        number = code.try_cast("bigint")
-        valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        numeric = F.when(valid, char).otherwise("�")
+        numeric = let(_number(ref), _character)
         opened = let(
             F.regexp_extract(ref, _OPEN_NAMES, 1),
             lambda name: F.concat(
@@ -128,7 +152,7 @@ def tag_items(html: Column) -> Column:
 
 def links(html: Column) -> Column:
     """Values of href of every `a` element that has one, in page order, as written."""
-    pattern = rf"(?is)<script(?:[\s/]{_ATTRS})?>.*?</script[^>]*>|<!--.*?-->|<a(?:[\s/]{_ATTRS})>"
+    pattern = rf"(?is)<script(?:[\s/]{_ATTRS})?>.*?(?:</script[^>]*>|\z)|<!--.*?-->|<a(?:[\s/]{_ATTRS})>"
     anchors = F.filter(
         F.regexp_extract_all(html, F.lit(pattern), F.lit(0)), lambda m: m.rlike(r"(?i)^<a[\s/]")
     )

@@ -73,20 +73,33 @@ def _moments(series: DataFrame, first: str, second: str, by: list[str]) -> DataF
 
 def _t_value() -> Column:
     m, n = F.col("n_x"), F.col("n_y")
-    pooled = ((m - 1) * F.col("var_x") + (n - 1) * F.col("var_y")) / (m + n - 2)
+    # A side of one block has no variance of its own.
+    spread = [F.coalesce((k - 1) * F.col(v), F.lit(0.0)) for k, v in ((m, "var_x"), (n, "var_y"))]
+    pooled = F.try_divide(spread[0] + spread[1], m + n - 2)
     difference = F.col("mean_x") - F.col("mean_y")
-    return difference / F.sqrt(pooled) * F.sqrt(m * n / (m + n))
+    return F.try_divide(difference, F.sqrt(pooled)) * F.sqrt(F.try_divide(m * n, m + n))
+
+
+def _rejects(critical: float | None) -> Column:
+    """0 or 1; without any variance, different means are rejected and equal ones are not."""
+    beyond = F.abs(_t_value()) > F.lit(critical)
+    return F.coalesce(beyond, F.col("mean_x") != F.col("mean_y"), F.lit(False)).cast("int")
 
 
 def t_test(series: DataFrame, first: str, second: str, alpha: float = 0.05) -> DataFrame:
-    """Pooled two-sample test of block means: one row with t_value, t_critical, rejected (0/1)."""
+    """Pooled two-sample test of block means: one row with t_value, t_critical, rejected (0/1).
+
+    Without any variance t_value is null, and different means are rejected; the same holds
+    without a degree of freedom, where t_critical is null too.
+    """
     moments = materialize(_moments(series, first, second, []))
     sizes = moments.select("n_x", "n_y").first()
-    critical = t_quantile(series.sparkSession, 1 - alpha / 2, sizes.n_x + sizes.n_y - 2)
+    free = sizes.n_x + sizes.n_y - 2
+    critical = t_quantile(series.sparkSession, 1 - alpha / 2, free) if free > 0 else None
     return (
         moments.withColumn("t_value", _t_value())
-        .withColumn("t_critical", F.lit(critical))
-        .withColumn("rejected", (F.abs("t_value") > F.col("t_critical")).cast("int"))
+        .withColumn("t_critical", F.lit(critical).cast("double"))
+        .withColumn("rejected", _rejects(critical))
     )
 
 
@@ -140,10 +153,8 @@ def bootstrap(
     picked = draws.join(F.broadcast(values) if small else values, ["split", "row_idx"])
     series = picked.groupBy("iteration", "split", "block").agg(F.avg("m").alias("value"))
     blocks = -(-size_sample // size_group)
-    critical = t_quantile(spark, 1 - alpha / 2, 2 * blocks - 2)
-    tests = _moments(series, first, second, ["iteration"]).select(
-        F.coalesce(F.abs(_t_value()) > critical, F.lit(False)).cast("int").alias("r")
-    )
+    critical = t_quantile(spark, 1 - alpha / 2, 2 * blocks - 2) if blocks > 1 else None
+    tests = _moments(series, first, second, ["iteration"]).select(_rejects(critical).alias("r"))
     return tests.agg(
         F.count(F.lit(1)).alias("iterations"),
         F.sum("r").alias("rejected"),

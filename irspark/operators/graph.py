@@ -27,11 +27,13 @@ def link_graph(
 ) -> DataFrame:
     """Page url and its links on the wanted host (the page's own host when none is given).
 
-    Pages without such links keep an empty list. Everything happens inside the page row.
+    Pages without such links, or without any html, keep an empty list. Everything happens inside
+    the page row.
     """
     page = normalize_url(F.col(url))
     wanted: Column = host(F.col("_page")) if wanted_host is None else F.lit(wanted_host)
-    return pages.select(page.alias("_page"), F.col(html).alias("_html")).select(
+    text = F.coalesce(F.col(html), F.lit(""))
+    return pages.select(page.alias("_page"), text.alias("_html")).select(
         F.col("_page").alias("url"), page_links(F.col("_html"), F.col("_page"), wanted).alias("links")
     )
 
@@ -74,7 +76,7 @@ def graph_stats(graph: DataFrame, count_targets: bool = False) -> DataFrame:
 
     Rows of equal urls are one page.
     """
-    rows = graph.select("url", (F.size("links") == 0).cast("int").alias("empty"))
+    rows = graph.select("url", (F.coalesce(F.size("links"), F.lit(0)) <= 0).cast("int").alias("empty"))
     if count_targets:
         targets = edges(graph).select(F.col("dst").alias("url")).withColumn("empty", F.lit(1))
         rows = rows.unionByName(targets)

@@ -67,7 +67,8 @@ def prepare_images(
                 pixels.append(image.transpose(2, 0, 1).reshape(-1))
             yield pd.DataFrame({key: batch[key], "pixels": pixels})
 
-    columns = images.select(key, "height", "width", "channels", "data")
+    # Files that could not be decoded have no size; failed_images lists them.
+    columns = images.filter("height > 0").select(key, "height", "width", "channels", "data")
     kind = T.StructType(
         [images.schema[key], T.StructField("pixels", T.ArrayType(T.FloatType()))]
     )
@@ -121,13 +122,17 @@ def similar(
 
     The base is read once per slice of queries. A slice is held by every worker and its size is
     bounded, so many queries mean several slices. Each task keeps only the best `top` rows per
-    query it has seen, and those few rows meet in the final cut.
+    query it has seen, and those few rows meet in the final cut. Null vectors, those with a null
+    component and those of another length than the longest query take no part.
     """
     spark = base.sparkSession
-    wanted = queries.select(query_key, F.col(vector).cast("array<double>").alias("_v"))
+    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull())
+    wanted = queries.filter(whole).select(query_key, F.col(vector).cast("array<double>").alias("_v"))
     stats = wanted.agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("_v")), F.lit(0)).alias("d")
     ).first()
+    base = base.filter(whole & (F.size(vector) == stats.d))
+    wanted = wanted.filter(F.size("_v") == stats.d)
     per_slice = max(1, limit(spark, VECTOR_BYTES) // max(1, 8 * stats.d))
     # Slices are drawn by hash; half the bound leaves room for uneven ones.
     slices = 1 if stats.n <= per_slice else -(-2 * stats.n // per_slice)
@@ -173,10 +178,12 @@ def _nearest_of_slice(
                 d = np.concatenate([best_d[q], distance[q]])
                 k = np.concatenate([best_k[q], keys])
                 if len(d) > top:
-                    # Everything up to the last kept distance stays until ids decide the ties.
-                    cut = np.partition(d, top - 1)[top - 1]
-                    kept = np.flatnonzero(d <= cut)
-                    order = sorted(kept, key=lambda i: (d[i], k[i]))[:top]
+                    # Everything up to the last kept distance stays until ids decide the ties. A
+                    # zero vector has no direction; its distance is not a number and comes last.
+                    by = np.where(np.isnan(d), np.inf, d)
+                    cut = np.partition(by, top - 1)[top - 1]
+                    kept = np.flatnonzero(by <= cut)
+                    order = sorted(kept, key=lambda i: (by[i], k[i]))[:top]
                     d, k = d[order], k[order]
                 best_d[q], best_k[q] = d, k
         for q, name in enumerate(ids):

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_images(spark: SparkSession, path: str) -> DataFrame:
-    """Decoded images (blue, green, red bytes): path, height, width, channels, data."""
+    """Decoded images (blue, green, red bytes): path, height, width, channels, data.
+
+    Files that are no image keep their path, with -1 as sizes and empty data; see failed_images.
+    """
     return (
         spark.read.format("image")
-        .option("dropInvalid", "true")
         .load(path)
         .selectExpr(
             "image.origin AS path",
@@ -19,3 +21,8 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
             "image.data AS data",
         )
     )
+
+
+def failed_images(images: DataFrame) -> DataFrame:
+    """Paths of files that could not be decoded."""
+    return images.filter("height < 0").select("path")
