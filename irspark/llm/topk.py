@@ -7,7 +7,8 @@ the parts that were read are known; a part that was not is at most the last one
 list (upper bound) and at least the smallest one (lower bound). Reading stops when few vectors,
 and none that is unseen, can have an upper bound that reaches the k-th best lower bound; the few
 are then resolved with their whole vectors. Scores of the leaders are resolved in each round, as
-the exact score is the best lower bound.
+the exact score is the best lower bound. The bounds of all queries of a block are summed at once:
+what a list has shown beyond its last reading, times the queries' components.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from irspark.plans.lineage import materialize
 from irspark.plans.ordering import top_within
 
 # Vectors and queries in one block; a task holds one of each at a time.
-_VECTORS, _QUERIES = 4_096, 1_024
+_VECTORS, _QUERIES = 4_096, 512
 # Reading starts with this part of a list; up to this part of a block is resolved at once.
-_FIRST, _RESOLVED = 16, 32
+_FIRST, _RESOLVED = 4, 16
 # Sums below this bound are exact in doubles.
 _EXACT = 2.0**52
 
@@ -47,37 +48,54 @@ class Lists:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        self.order = np.argsort(self.vectors, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(self.vectors, self.order, axis=0).astype(np.float64)
-        self.largest = float(np.abs(self.sorted).max(initial=0))
-
-    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best vectors with another id, ties to the smaller id."""
-        may = np.flatnonzero(self.ids != query_id)
-        if len(may) > k and len(query) * self.largest * float(np.abs(query).max()) < _EXACT:
-            may = may[self._reaches(query, k, self.ids != query_id)[may]]
-        scores = self.vectors[may] @ query
-        first = np.lexsort((self.ids[may], -scores))[:k]
-        return self.ids[may][first], scores[first]
-
-    def _reaches(self, query: np.ndarray, k: int, may: np.ndarray) -> np.ndarray:
-        """Vectors whose upper bound reaches the k-th best lower bound."""
-        n, lists = len(self.ids), np.flatnonzero(query)
-        q = query.astype(np.float64)
-        up, down = lists[query[lists] > 0], lists[query[lists] < 0]
+        self.exact = self.vectors.astype(np.float64)
+        self.sorted = np.sort(self.exact, axis=0)
+        self.largest = float(np.abs(self.exact).max(initial=0))
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query the ids and scores of the k best vectors with another id, ties to the smaller id."""
+        may = self.ids[None, :] != query_ids[:, None]
+        size = queries.shape[1] * self.largest * float(np.abs(queries).max(initial=0))
+        bounded = size < _EXACT and len(self.ids) > k + 1
+        reaches = self._reaching(queries.astype(np.float64), k, may) if bounded else may
+        out = []
+        for i, query in enumerate(queries):
+            rows = np.flatnonzero(reaches[i])
+            if bounded:
+                scores = (self.exact[rows] @ query.astype(np.float64)).astype(np.int64)
+            else:
+                scores = self.vectors[rows] @ query
+            first = np.lexsort((self.ids[rows], -scores))[:k]
+            out.append((self.ids[rows][first], scores[first]))
+        return out
+
+    def _reaching(self, queries: np.ndarray, k: int, may: np.ndarray) -> np.ndarray:
+        """Per query and vector: whether the upper bound reaches the k-th best lower bound."""
+        n = len(self.ids)
+        reaches, waiting = np.zeros_like(may), np.arange(len(queries))
+        lower = np.full(len(queries), -np.inf)
         depth = max(1, n // _FIRST)
         while True:
-            read = [(self.order[n - depth :, up], self.sorted[n - depth :, up] * q[up], self.sorted[n - depth, up] * q[up]),
-                    (self.order[:depth, down], self.sorted[:depth, down] * q[down], self.sorted[depth - 1, down] * q[down])]
-            upper = np.full(n, sum(last.sum() for _, _, last in read))
-            for ids, parts, last in read:
-                # A part that was read counts instead of the last one of its list.
-                upper += np.bincount(ids.ravel(), (parts - last).ravel(), n)
-            upper[~may] = -np.inf
-            leaders = np.argpartition(upper, n - k)[n - k :]
-            lower = (self.vectors[leaders] @ query)[may[leaders]].min()
-            reaches = upper >= lower
-            if depth == n or reaches.sum() <= max(4 * k, n // _RESOLVED):
+            first, last = self.sorted[n - depth], self.sorted[depth - 1]
+            # What has been read from the upper and the lower ends, beyond the last ones read.
+            upper_parts = np.maximum(self.exact - first, 0)
+            lower_parts = np.minimum(self.exact - last, 0)
+            q, own = queries[waiting], ~may[waiting]
+            plus, minus = np.maximum(q, 0), np.minimum(q, 0)
+            upper = plus @ upper_parts.T
+            upper += minus @ lower_parts.T
+            upper += (plus @ first + minus @ last)[:, None]
+            upper[own] = -np.inf
+            # One leader more than k, as the query's own vector may be among them.
+            leaders = np.argpartition(upper, n - k - 1, axis=1)[:, n - k - 1 :]
+            scores = np.einsum("qld,qd->ql", self.exact[leaders], q)
+            scores[np.take_along_axis(own, leaders, axis=1)] = -np.inf
+            lower[waiting] = np.maximum(lower[waiting], np.sort(scores, axis=1)[:, 1])
+            found = (upper >= lower[waiting, None]) & ~own
+            done = (found.sum(axis=1) <= max(4 * k, n // _RESOLVED)) | (depth == n)
+            reaches[waiting[done]] = found[done]
+            waiting = waiting[~done]
+            if not len(waiting):
                 return reaches
             depth = min(n, 2 * depth)
 
@@ -124,7 +142,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id
             for row in range(batch.num_rows):
                 lists = Lists(*_unpack(batch.column(0)[row].values))
                 ids, asked = _unpack(batch.column(1)[row].values)
-                found = [lists.best(i, q, k) for i, q in zip(ids, asked)]
+                found = lists.best(ids, asked, k)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(ids, [len(f[0]) for f in found]), pa.int64()),
                      pa.array(np.concatenate([f[0] for f in found]), pa.int64()),
