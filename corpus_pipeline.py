@@ -69,7 +69,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids, and hashes of the ids and of the decoded text."""
-    return bpe.encode_decode(docs, vocabulary_path()).drop("decoded")
+    return bpe.encode_decode(docs, vocabulary_path(), values=["token_ids"])
 
 
 STAGES = [

@@ -14,17 +14,21 @@ import functools
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from irspark.llm.batches import slices
+
 # Texts are cut at ASCII white space, and what a piece gave is kept up to these bounds.
-_PIECES_KEPT = 400_000
+_PIECES_KEPT = 250_000
 _PIECE_BYTES = 64
-_PAIRS_KEPT = 2_000_000
+_PAIRS_KEPT = 200_000
+# Bytes of text whose results a worker holds at once.
+_TEXT_BYTES = 4_000_000
 # The last symbol of a word is a symbol of its own; it gets a code point above all byte symbols.
 _END = 0x400
 # Fixed value: the words of lower-case ASCII text.
@@ -191,13 +195,14 @@ def _codec(vocabulary: str) -> WordBpe:
 
 
 def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", keep: list[str] | None = None,
-                  values: bool = True) -> DataFrame:
+                  values: Sequence[str] = ("token_ids", "decoded")) -> DataFrame:
     """Encode every text and decode the ids again.
 
     `vocabulary` is the path of a vocabulary file that the driver can read; its content (a few
     MB, whatever the data) is broadcast. Adds n_tokens, ids_sha256 (of the ids as little-endian
-    unsigned 32-bit integers), decoded_sha256, and, with `values`, token_ids and decoded to the
-    columns `keep` (default: all, without those of the added names, which are replaced).
+    unsigned 32-bit integers), decoded_sha256, and those of token_ids and decoded that `values`
+    names, to the columns `keep` (default: all, without those of the added names, which are
+    replaced).
 
     A null text counts as empty: no tokens, decoded to an empty text. Each row stands alone, so
     repeated rows give equal results, an empty table an empty one, and a long text costs memory
@@ -205,33 +210,31 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", keep: li
     """
     spark = docs.sparkSession
     content = spark.sparkContext.broadcast(Path(vocabulary).read_text(encoding="utf-8"))
-    added = [("n_tokens", "bigint"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
-    if values:
-        added += [("token_ids", "array<bigint>"), ("decoded", "string")]
-    names = {n for n, _ in added}
-    keep = [c for c in (docs.columns if keep is None else keep) if c not in names]
-    kinds = docs.select(*keep).schema
-    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kinds]
+    kinds = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string",
+             "token_ids": "array<int>", "decoded": "string"}
+    arrow = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+    added = [n for n in kinds if n in values or n not in ("token_ids", "decoded")]
+    keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(content.value)
         for batch in batches:
-            texts = batch.column(0).cast(pa.binary()).to_pylist()
-            counts, id_hashes, text_hashes, ids_out, decoded_out = [], [], [], [], []
-            for value in texts:
-                ids = codec.encode(value or b"")
-                decoded = codec.decode(ids)
-                counts.append(len(ids) // 4)
-                id_hashes.append(hashlib.sha256(ids).hexdigest())
-                text_hashes.append(hashlib.sha256(decoded).hexdigest())
-                if values:
-                    ids_out.append(np.frombuffer(ids, "<u4").astype(np.int64))
-                    decoded_out.append(decoded.decode())
-            columns = [*batch.columns[1:], pa.array(counts, pa.int64()), pa.array(id_hashes, pa.string()),
-                       pa.array(text_hashes, pa.string())]
-            if values:
-                columns += [pa.array(ids_out, pa.list_(pa.int64())), pa.array(decoded_out, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*keep, *[n for n, _ in added]])
+            texts = batch.column(0).cast(pa.binary())
+            for first, end in slices(texts, _TEXT_BYTES):
+                found: dict[str, list] = {n: [] for n in added}
+                for value in texts.slice(first, end - first):
+                    ids = codec.encode(value.as_py() or b"")
+                    decoded = codec.decode(ids)
+                    row = {"n_tokens": len(ids) // 4, "ids_sha256": hashlib.sha256(ids).hexdigest(),
+                           "decoded_sha256": hashlib.sha256(decoded).hexdigest(),
+                           "token_ids": np.frombuffer(ids, "<i4"), "decoded": decoded}
+                    for n in added:
+                        found[n].append(row[n])
+                columns = [c.slice(first, end - first) for c in batch.columns[1:]]
+                columns += [pa.array(found[n], pa.binary()).cast(pa.string()) if n == "decoded"
+                            else pa.array(found[n], arrow[kinds[n]]) for n in added]
+                yield pa.RecordBatch.from_arrays(columns, names=[*keep, *added])
 
     given = docs.select(docs[text].cast("string").alias("_text"), *[docs[c] for c in keep])
-    return given.mapInArrow(run, ", ".join([*fields, *[f"{n} {t}" for n, t in added]]))
+    return given.mapInArrow(run, ", ".join([*fields, *[f"{n} {kinds[n]}" for n in added]]))

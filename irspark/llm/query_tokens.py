@@ -18,7 +18,7 @@ def vocabulary_path() -> str:
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; no SQL can, so tests compare with the library."""
     docs = table(spark, sf_dir, "documents")
-    return bpe.encode_decode(docs, vocabulary_path(), keep=["doc_id"], values=False)
+    return bpe.encode_decode(docs, vocabulary_path(), keep=["doc_id"], values=())
 
 
 @query()

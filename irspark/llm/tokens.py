@@ -27,10 +27,10 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from irspark.llm.batches import slices
 from irspark.plans.lineage import checkpoint_dir
 from irspark.plans.ordering import prefix_sum
 
@@ -212,9 +212,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int | None
 
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-            sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-            cuts = np.flatnonzero(np.diff(sizes // _TEXT_BYTES, prepend=0)) if len(keys) else []
-            for first, end_row in itertools.pairwise([0, *cuts, len(keys)]):
+            for first, end_row in slices(texts, _TEXT_BYTES):
                 some = [t or b"" for t in texts.slice(first, end_row - first).to_pylist()]
                 for key, ids in zip(keys[first:end_row], encoder.encode(some)):
                     ids = np.frombuffer(ids + end, "<u4")
