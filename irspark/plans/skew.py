@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from irspark.plans.limits import BROADCAST_ROWS, ROWS_PER_TASK, limit
+from irspark.plans.limits import BROADCAST_BYTES, BROADCAST_ROWS, ROWS_PER_TASK, limit
 
 # Parts over which an outer join spreads rows whose key is null.
 NULL_PARTS = 4096
@@ -63,6 +63,14 @@ def skew_join(
     return salted.join(repeated, on + ["_salt"], how).drop("_salt")
 
 
+def broadcast_rows(table: DataFrame) -> int:
+    """Rows of the table that may be broadcast: a bound of rows and one of bytes."""
+    widths = {"bigint": 8, "int": 8, "double": 8, "boolean": 8, "string": 24, "binary": 24}
+    width = 16 + sum(widths.get(kind, 64) for _, kind in table.dtypes)
+    spark = table.sparkSession
+    return min(limit(spark, BROADCAST_ROWS), limit(spark, BROADCAST_BYTES) // width)
+
+
 def lookup_join(
     left: DataFrame,
     table: DataFrame,
@@ -74,9 +82,8 @@ def lookup_join(
 
     `table_rows` is a proven upper bound for the rows of the table; without one they are counted.
     """
-    spark = left.sparkSession
     if table_rows is None:
         table_rows = table.count()
-    if table_rows <= limit(spark, BROADCAST_ROWS):
+    if table_rows <= broadcast_rows(table):
         return left.join(F.broadcast(table), list(on), how)
     return skew_join(left, table, on, how)
