@@ -9,7 +9,7 @@ ROWS_PER_TASK = ("spark.irspark.rowsPerTask", 2_000_000)
 # Rows of a table that may be broadcast once they have been counted.
 BROADCAST_ROWS = ("spark.irspark.broadcastRows", 1_000_000)
 # Bytes of such a table, by the widths of its columns; the driver holds it while it is sent.
-BROADCAST_BYTES = ("spark.irspark.broadcastBytes", 24 * 1024 * 1024)
+BROADCAST_BYTES = ("spark.irspark.broadcastBytes", 8 * 1024 * 1024)
 # Rows that a single sorted top-k task may hold.
 TOP_K_ROWS = ("spark.irspark.topKRows", 100_000)
 # Rows in one block of the pairwise kernel.
