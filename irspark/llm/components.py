@@ -1,6 +1,6 @@
 """Connected components by distributed union-find.
 
-Edges are turned by two steps in turn until nothing changes. The large step links every larger
+Edges are turned by two steps in turn until all that is left are stars. The large step links every larger
 neighbour of a node to the smallest node around it, the small step every smaller neighbour and the
 node itself. Both keep the components, and leave stars around the smallest node of each.
 """
@@ -19,6 +19,14 @@ def _joined(edges: DataFrame, nodes: DataFrame, bound: int) -> DataFrame:
     return lookup_join(edges, nodes, ["u"], table_rows=bound)
 
 
+def _state(edges: DataFrame) -> tuple[int, int]:
+    """Number of edges (u, v), and of nodes that keep them from being stars with a `v` in the middle."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up")))
+    nodes = edges.select(F.explode(ends).alias("end")).groupBy("end.node").agg(F.sum("end.up").alias("ups"), F.count(F.lit(1)).alias("n"))
+    n, others = nodes.agg(F.sum("ups"), F.count_if((F.col("ups") > 0) & (F.col("n") > 1))).first()
+    return n or 0, others
+
+
 def components(links: DataFrame) -> DataFrame:
     """From links (a, b): every linked node with the smallest node of its component (node, root).
 
@@ -28,12 +36,11 @@ def components(links: DataFrame) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     alone = links.filter(a == b).select(a.alias("node"), b.alias("root")).distinct()
     edges = materialize(links.filter(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
-    state = None
     while True:
-        n, mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if (n, mark) == state or n == 0:
+        n, others = _state(edges)
+        # In stars every node but the middle has one edge, and the middle is the smallest.
+        if others == 0:
             break
-        state = (n, mark)
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = _joined(both.filter("v > u"), least, 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
