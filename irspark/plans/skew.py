@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from irspark.plans.limits import BROADCAST_BYTES, BROADCAST_ROWS, ROWS_PER_TASK, limit
 
 # Parts over which an outer join spreads rows whose key is null.
 NULL_PARTS = 4096
+# Bytes of a row besides its values, and of values by type.
+_ROW_BYTES = 16
+_WIDTHS = {"bigint": 8, "int": 8, "double": 8, "boolean": 8, "string": 24, "binary": 24}
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
@@ -64,13 +68,41 @@ def skew_join(
 
 
 def broadcast_rows(table: DataFrame) -> int:
-    """Rows of the table that may be broadcast: a bound of rows and one of bytes."""
-    widths = {"bigint": 8, "int": 8, "double": 8, "boolean": 8, "string": 24, "binary": 24}
-    width = 16 + sum(widths.get(kind, 64) for _, kind in table.dtypes)
+    """Rows of the table that may be broadcast: a bound of rows and one of bytes.
+
+    Strings and other values of no fixed size count with the size of a short one.
+    """
+    width = _ROW_BYTES + sum(_WIDTHS.get(kind, 64) for _, kind in table.dtypes)
     spark = table.sparkSession
     return min(limit(spark, BROADCAST_ROWS), limit(spark, BROADCAST_BYTES) // width)
 
 
+def _bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value in a row, about."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        inner = F.octet_length(value)
+    elif isinstance(kind, T.StructType):
+        return reduce(add, [_bytes(value[f.name], f.dataType) for f in kind.fields], F.lit(8))
+    elif isinstance(kind, T.ArrayType) and kind.elementType.simpleString() in _WIDTHS.keys() - {"string", "binary"}:
+        inner = 8 * F.size(value)
+    elif isinstance(kind, (T.ArrayType, T.MapType)):
+        inner = 4 * F.octet_length(F.to_json(value))
+    else:
+        return F.lit(8)
+    return 8 + F.greatest(F.coalesce(inner, F.lit(0)), F.lit(0))
+
+
+def _fits_broadcast(table: DataFrame) -> bool:
+    """Whether the table may be broadcast, by its counted rows, then by the bytes of these few rows."""
+    if table.count() > broadcast_rows(table):
+        return False
+    if all(kind in _WIDTHS and kind not in ("string", "binary") for _, kind in table.dtypes):
+        return True
+    sizes = [_bytes(F.col(f"`{f.name}`"), f.dataType) for f in table.schema.fields]
+    total = table.agg(F.sum(reduce(add, sizes, F.lit(_ROW_BYTES)).cast("bigint"))).first()[0]
+    return (total or 0) <= limit(table.sparkSession, BROADCAST_BYTES)
+
+
 def lookup_join(
     left: DataFrame,
     table: DataFrame,
@@ -80,10 +112,10 @@ def lookup_join(
 ) -> DataFrame:
     """Join with a lookup table (one row per key): broadcast when its counted size allows.
 
-    `table_rows` is a proven upper bound for the rows of the table; without one they are counted.
+    `table_rows` is a proven upper bound for the rows of a table of numbers and short keys;
+    without one its rows and bytes are counted.
     """
-    if table_rows is None:
-        table_rows = table.count()
-    if table_rows <= broadcast_rows(table):
+    fits = _fits_broadcast(table) if table_rows is None else table_rows <= broadcast_rows(table)
+    if fits:
         return left.join(F.broadcast(table), list(on), how)
     return skew_join(left, table, on, how)

@@ -1,10 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from irspark.plans.limits import ROWS_PER_TASK
+from irspark.plans.limits import BROADCAST_BYTES, ROWS_PER_TASK
 from irspark.plans.lineage import checkpoint_dir, materialize
 from irspark.plans.ordering import prefix_sum, rank_within, row_index, top_rows, top_within
-from irspark.plans.skew import hot_keys, skew_join
+from irspark.plans.skew import hot_keys, lookup_join, skew_join
 
 
 @pytest.fixture
@@ -91,3 +91,19 @@ def test_bucketed_rows_stay_where_they_are(spark):
         assert plan.count("Exchange") == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("wide, sent", [(1, True), (1000, False)])
+def test_lookup_join_counts_bytes(spark, wide, sent):
+    """Few rows are not sent to all tasks if their strings and arrays are long."""
+    value = F.array_repeat(F.col("id"), wide)
+    table = spark.range(100).select("id", value.alias("a"), F.struct(value, F.repeat(F.lit("x"), F.lit(wide))).alias("s"),
+                                    F.array(F.repeat(F.lit("x"), F.lit(wide))).alias("t"), F.lit(None).cast("string").alias("u"))
+    spark.conf.set(BROADCAST_BYTES[0], "100000")
+    try:
+        joined = lookup_join(spark.range(300), table, ["id"])
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset(BROADCAST_BYTES[0])
+    assert ("_salt" not in plan) == sent
+    assert joined.count() == 100
