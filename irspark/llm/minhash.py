@@ -193,33 +193,37 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def _compare(left: list[tuple], right: list[tuple], percent: int, same: bool) -> Iterator[tuple[bytes, bytes]]:
-    """Similar pairs of (id, root, band, bands, sketch, shingles) members of one bucket.
+    """Similar pairs of (id, root, band, bands, open, sketch, shingles) members of one bucket.
 
-    Pairs meet in the first band that they share, need different roots, and are dropped by their
-    sketches or their sizes before whole sets are intersected.
+    Pairs meet in the first band that they share and that is open for both (other buckets have
+    another leader or are not read), need different roots, and are dropped by their sketches or
+    their sizes before whole sets are intersected.
     """
     roots = [np.array([hash(m[1]) for m in side]) for side in (left, right)]
     keys = [np.array([m[3] for m in side]) for side in (left, right)]
-    sketches = [np.frombuffer(b"".join(m[4] for m in side), np.uint8).reshape(len(side), -1) for side in (left, right)]
-    sizes = [np.array([len(m[5]) for m in side]) for side in (left, right)]
+    read = [np.array([m[4] for m in side]) for side in (left, right)]
+    sketches = [np.frombuffer(b"".join(m[5] for m in side), np.uint8).reshape(len(side), -1) for side in (left, right)]
+    sizes = [np.array([len(m[6]) for m in side]) for side in (left, right)]
     for i, one in enumerate(left):
         first = i + 1 if same else 0
         if first >= len(right):
             continue
-        shared = keys[1][first:] == keys[0][i]
+        shared = (keys[1][first:] == keys[0][i]) & read[1][first:] & read[0][i]
         may = (shared.argmax(axis=1) == one[2]) & shared.any(axis=1) & (roots[1][first:] != roots[0][i])
         may &= 100 * np.minimum(sizes[1][first:], sizes[0][i]) >= percent * np.maximum(sizes[1][first:], sizes[0][i])
         rows = first + np.flatnonzero(may)
         rows = rows[(sketches[1][rows] == sketches[0][i]).mean(axis=1) >= _LEAST_AGREEMENT]
         for k in rows:
             other = right[k]
-            n = len(np.intersect1d(one[5], other[5], assume_unique=True))
-            if 100 * n >= percent * (len(one[5]) + len(other[5]) - n):
+            n = len(np.intersect1d(one[6], other[6], assume_unique=True))
+            if 100 * n >= percent * (len(one[6]) + len(other[6]) - n):
                 yield one[0], other[0]
 
 
 def _linked_in_buckets(open_: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Similar pairs (a, b) of one bucket with different roots; members: id, bands, sketch, s.
+    """Similar pairs (a, b) of one bucket with different roots; members: id, bands, open, sketch, s.
+
+    `open` says of each band whether the set is in an open bucket of it, without being its leader.
 
     A bucket is cut into blocks of bounded size, and every two of its blocks meet in one group of
     rows of a task, which gives the links alone.
@@ -231,7 +235,7 @@ def _linked_in_buckets(open_: DataFrame, members: DataFrame, percent: int) -> Da
     met = met.select("key", "id", "root", "block", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
     full = skew_join(met, members, ["id"], rows=_PAIRS, salt_on=["key", "x", "y"], heavy=hot_keys(met, ["id"], _PAIRS))
     at = (F.array_position("bands", F.col("key")) - 1).cast("int").alias("band")
-    full = full.select("key", "x", "y", "block", "id", "root", at, "bands", "sketch", "s")
+    full = full.select("key", "x", "y", "block", "id", "root", at, "bands", "open", "sketch", "s")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(group: tuple, rows: list[tuple]) -> pa.RecordBatch:
@@ -242,16 +246,16 @@ def _linked_in_buckets(open_: DataFrame, members: DataFrame, percent: int) -> Da
 
         group, rows = None, []
         for batch in batches:
-            columns = [batch.column(i) for i in range(10)]
-            lists = [[v.values.to_numpy(zero_copy_only=False) for v in columns[i]] for i in (7, 9)]
-            plain = [columns[i].to_pylist() for i in (0, 1, 2, 3, 4, 5, 6, 8)]
-            for (key, x, y, *row), keys, values in zip(zip(*plain), *lists):
+            columns = [batch.column(i) for i in range(11)]
+            lists = [[v.values.to_numpy(zero_copy_only=False) for v in columns[i]] for i in (7, 8, 10)]
+            plain = [columns[i].to_pylist() for i in (0, 1, 2, 3, 4, 5, 6, 9)]
+            for (key, x, y, *row), keys, read, values in zip(zip(*plain), *lists):
                 if group != (key, x, y):
                     if len(rows) > 1:
                         yield done(group, rows)
                     group, rows = (key, x, y), []
                 block, id_, root, band, sketched = row
-                rows.append((block, id_, root, band, keys, sketched, values.view(np.uint64)))
+                rows.append((block, id_, root, band, keys, read, sketched, values.view(np.uint64)))
         if len(rows) > 1:
             yield done(group, rows)
 
@@ -301,7 +305,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, doc_id:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["id", "s"])
 
         listed = texts(ids).mapInArrow(run, "id binary, s array<bigint>")
-        members = materialize(listed.join(chosen(ids, ["bands", "sketch"]), "id"))
+        keys = open_.groupBy("id").agg(F.collect_set("key").alias("_open"))
+        read = F.transform("bands", lambda k: F.array_contains("_open", k)).alias("open")
+        signs = chosen(ids, ["bands", "sketch"]).join(keys, "id").select("id", "bands", read, "sketch")
+        members = materialize(listed.join(signs, "id"))
         return _linked_in_buckets(open_, members, percent)
 
     roots = link(buckets, verify, rest)

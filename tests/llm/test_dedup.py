@@ -119,3 +119,21 @@ def test_sketches_fill_and_estimate():
         assert all((t != np.uint64(2**64 - 1)).all() for t in trials)
         agreement = np.mean([(t[0] == t[1]).mean() for t in trials])
         assert agreement == pytest.approx(shared / len(x), abs=0.1 if n < 10 else 0.03)
+
+
+def test_small_groups_near_the_threshold(spark, documents):
+    """Buckets with equal members are read once; a pair must not wait for one that is not read."""
+    r = random.Random(7)
+    rows = []
+    for g in range(240):
+        for _ in range(r.randrange(4, 7)):
+            own = [f"o{r.randrange(10**9)}" for _ in range(r.randrange(9, 18))]
+            rows.append((len(rows), " ".join([f"g{g}c{i}" for i in range(100)] + own)))
+    sets = [word_set(t, 1) for _, t in rows]
+    groups = {}
+    for i, (_, t) in enumerate(rows):
+        groups.setdefault(t.split()[0], []).append(i)
+    links = [(a, b) for ids in groups.values() for a in ids for b in ids
+             if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    want = roots(range(len(rows)), links)
+    assert {x.doc_id: x.component_id for x in minhash.near_duplicates(documents(rows), width=1).collect()} == want
