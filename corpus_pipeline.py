@@ -1,9 +1,9 @@
 """A training corpus from documents: five stages, each written and read again before the next.
 
 quality   documents that the quality rules reject go
-lines     repeated lines go but the first; so do documents that lose most of their text by it
+lines     repeated lines go but the first; every document stays with what is left of it
 minhash   one document of each group of near duplicates stays
-mix       sources are cut or repeated to their target weights
+mix       sources are cut or repeated to their target weights; documents without a word left go
 encode    token ids of each document, and the check of the decoded text
 
 Stages handle null ids, texts and sources, repeated rows and empty tables as their operators do.
@@ -24,8 +24,9 @@ from irspark.llm.query_tokens import vocabulary_path
 from irspark.plans.lineage import checkpoint_dir, materialize
 from irspark.plans.skew import lookup_join
 
-# A document of which less than this share of its text is left is a copy of others.
-LEAST_KEPT_PERCENT = 50
+# Every document stays, whatever share of its text is left: its other lines are no copies, and it
+# may hold the first copy of a line that was cut elsewhere.
+LEAST_KEPT_PERCENT = 0
 _ROW = "_row"
 
 
@@ -43,10 +44,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated lines; a document that keeps less than half its text goes."""
+    """All documents, without repeated lines; copies of documents are left to the next stage."""
     named, key = _named(docs)
     cleaned = lines.without_lines(named, lines.repeated_lines(named, key), key)
-    cleaned = cleaned.filter(F.col("kept_percent") >= LEAST_KEPT_PERCENT)
     n_chars = F.length("text").cast("bigint")
     return cleaned.select(*[F.coalesce(n_chars, F.lit(0).cast("bigint")).alias(c) if c == "n_chars" else c for c in docs.columns])
 

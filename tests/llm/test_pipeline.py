@@ -81,3 +81,17 @@ def test_odd_rows(spark, documents, tmp_path):
 
 def test_empty_table(spark, documents, tmp_path):
     assert check(spark, tmp_path, documents([])) == []
+
+
+def test_first_copies_and_unique_lines_stay(spark, documents, tmp_path):
+    shared = [f"shared line number {i} of the first document, about {'abcdefgh'[i] * 9}" for i in range(8)]
+    passage = [f"the passage {c * 12} is repeated by later documents {c * 15}" for c in "pqr"]
+    own = {d: f"document {d} says {c * 30} and nobody else" for d, c in ((0, "x"), (1, "y"), (5, "z"), (9, "w"))}
+    texts = {0: [own[0], *shared], 1: [own[1], *shared, *passage], 5: [own[5], *passage], 9: [*passage, own[9]], 12: shared}
+    cleaned = stage(spark, tmp_path, "lines", documents([(d, "\n".join(t), "en", "web", 1) for d, t in texts.items()]))
+    left = {r.doc_id: r.text for r in cleaned.collect()}
+    assert {d: left[d].split("\n") for d in own} == {0: [own[0], *shared], 1: [own[1], *passage], 5: [own[5]], 9: [own[9]]}
+    # Of document 12 nothing remains, and it does not reach the corpus.
+    assert left[12] == ""
+    single = stage(spark, tmp_path, "minhash", cleaned)
+    assert 12 not in {r.doc_id for r in stage(spark, tmp_path, "mix", single).collect()}
