@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -92,12 +93,35 @@ def test_whole_table(spark, monkeypatch, run_bytes, fan):
     assert got(rows) == brute([docs[r.doc_id] for r in rows])
 
 
-@pytest.mark.parametrize("wide", [1 << 16, 2])
-def test_odd_texts(spark, documents, monkeypatch, wide):
-    monkeypatch.setattr(alignment, "_WIDE", wide)
-    texts = [None, "", " ", "  two  blanks ", "▁marked", "ﬁnal ½", "<|endoftext|> <s> <unk> <0x41>", "\x00\x01", "àé",
-             "\U0001f600\U0001f1e9\U0001f1ea" * 40, "你好世界" * 30, "word " * 900, "x" * 3000, "line\nline\t\r\n", "same text", "same text", "éè" * 50]
-    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "no id"), (15, "same text")]
+ODD = [None, "", " ", "  two  blanks ", "▁marked", "ﬁnal ½", "<|endoftext|> <s> <unk> <0x41>", "\x00\x01", "àé",
+       "\U0001f600\U0001f1e9\U0001f1ea" * 40, "你好世界" * 30, "word " * 900, "x" * 3000, "line\nline\t\r\n", "same text", "same text", "éè" * 50]
+
+
+def test_groups_of_many_links(monkeypatch):
+    """Counting equal ids before they are paired changes nothing."""
+    pair = alignment.Pair(open(FILES[0], encoding="utf-8").read(), open(FILES[1], "rb").read())
+    texts = [t.encode() if t else t for t in ODD]
+    plain = pair.align(texts)
+    monkeypatch.setattr(alignment, "_WIDE", 2)
+    counted = pair.align(texts)
+    for name in ("keys", "radices", "seen", "slots", "times"):
+        assert getattr(plain, name).tolist() == getattr(counted, name).tolist()
+    assert plain.times.max() > 1
+
+
+def test_encoders_agree():
+    """The encoder by ranks gives what the library gives, and leaves other vocabularies to it."""
+    text = open(FILES[0], encoding="utf-8").read()
+    pair = alignment.Pair(text, open(FILES[1], "rb").read())
+    spec = json.loads(text)
+    by_ranks = alignment._by_ranks(spec, [pair.bytes_a([i]).tobytes() for i in range(pair.size_a)])
+    texts = [" " + t for t in ODD if t] + ["it's I'LL ' s", "\u00a0\u2003 x", "\u0661\u0662 \u00bd", " " * 3000 + "a"]
+    assert [i.tolist() for i in by_ranks(texts)] == [i.tolist() for i in alignment._by_library(text)(texts)]
+    assert alignment._by_ranks(spec | {"normalizer": {"type": "Lowercase"}}, []) is None
+
+
+def test_odd_texts(spark, documents):
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "no id"), (15, "same text")]
     docs = documents(rows).withColumnsRenamed({"lang": "n_best", "source": "_run", "n_chars": "run"})
     out = alignment.align(docs, *FILES)
     assert out.columns == ["doc_id", "text", "_run", "run", *alignment.ADDED]
