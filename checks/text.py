@@ -92,7 +92,8 @@ scored AS (
 
 def document_scores(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d)
-    weights = tfidf.transform(docs, tfidf.fit_idf(docs))
+    rows = materialize(tfidf.sparse_rows(docs))
+    weights = tfidf.transform(rows, tfidf.fit_idf(rows))
     return tfidf.score(queries(spark, d), candidates(spark, d), weights, docs)
 
 
@@ -256,7 +257,8 @@ def tfidf_idf(spark: SparkSession, d: str) -> DataFrame:
 @check(f"WITH {TFIDF_SQL} SELECT doc_id, term, tf, round(weight, 6) AS weight FROM w")
 def tfidf_weights(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d)
-    weights = tfidf.transform(docs, tfidf.fit_idf(docs))
+    rows = materialize(tfidf.sparse_rows(docs))
+    weights = tfidf.transform(rows, tfidf.fit_idf(rows))
     return weights.select("doc_id", "term", "tf", r6("weight").alias("weight"))
 
 
@@ -270,7 +272,8 @@ LEFT JOIN w ON w.doc_id = r.doc_id AND w.term = r.term
 """)
 def tfidf_lookup(spark: SparkSession, d: str) -> DataFrame:
     docs = documents(spark, d)
-    weights = tfidf.transform(docs, tfidf.fit_idf(docs))
+    rows = materialize(tfidf.sparse_rows(docs))
+    weights = tfidf.transform(rows, tfidf.fit_idf(rows))
     words = tfidf.query_tokens(queries(spark, d)).select("query_id", F.explode("tokens").alias("term"))
     asked = candidates(spark, d).join(words, "query_id").select("doc_id", "term").distinct()
     return tfidf.lookup(asked, weights, docs).select("doc_id", "term", r6("weight").alias("weight"))
@@ -302,7 +305,7 @@ SELECT doc_id, length(text) AS n FROM (
 """)
 def corpus_cap(spark: SparkSession, d: str) -> DataFrame:
     """The character cap is the feature: documents in id order until it is passed."""
-    kept = fields.corpus_sample(documents(spark, d), 1_000_000, [F.col("doc_id").asc()])
+    kept = fields.corpus_sample(documents(spark, d), 1_000_000, [F.col("doc_id")])
     return kept.select("doc_id", F.length("text").cast("bigint").alias("n"))
 
 
@@ -314,7 +317,7 @@ SELECT doc_id FROM (
 ) WHERE s - n <= 1000000
 """)
 def corpus_sample(spark: SparkSession, d: str) -> DataFrame:
-    order = [fields.random_order(F.col("doc_id"), "7").asc(), F.col("doc_id").asc()]
+    order = [fields.random_order(F.col("doc_id"), "7"), F.col("doc_id")]
     return fields.corpus_sample(documents(spark, d), 1_000_000, order).select("doc_id")
 
 

@@ -96,11 +96,16 @@ def random_order(key: Column, seed: str) -> Column:
 def corpus_sample(
     texts: DataFrame, max_chars: int, order: Sequence[Column], text: str = "text"
 ) -> DataFrame:
-    """Rows in the given order until their characters pass `max_chars`.
+    """Rows in the given ascending order until their characters pass `max_chars`.
 
-    The row that crosses the limit is kept. Running sums are distributed over ranges of the order.
+    `order` holds plain expressions that name a row. The row that crosses the limit is kept.
+    Running sums go over the lengths alone, distributed over ranges of the order; all that comes
+    back is the place of the last row kept, so no text moves.
     """
-    summed = prefix_sum(
-        texts.withColumn("_len", F.length(text).cast("bigint")), [], order, {"_sum": F.col("_len")}
-    )
-    return summed.filter(F.col("_sum") - F.col("_len") <= max_chars).drop("_len", "_sum")
+    place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    lengths = texts.select(place.alias("_place"), F.length(text).cast("bigint").alias("_len"))
+    summed = prefix_sum(lengths, [], [F.col("_place")], {"_sum": F.col("_len")})
+    # A row without a text adds nothing; the sum before it decides.
+    before = F.col("_sum") - F.coalesce(F.col("_len"), F.lit(0))
+    last = summed.filter(F.coalesce(before, F.lit(0)) <= max_chars).agg(F.max("_place"))
+    return texts.filter(place <= last.scalar())

@@ -1,6 +1,7 @@
 """TF-IDF: vocabulary, smoothed idf, L2-normalised weights and query-document scores.
 
-Long tables replace the sparse matrices: one row per (document, field, term).
+A text's terms are counted inside its row, so texts never move. Long tables replace the sparse
+matrices: one row per (document, field, term).
 """
 
 from __future__ import annotations
@@ -10,31 +11,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from irspark.functions.binding import let
 from irspark.functions.text import fold_tokens, remove_stop_words
 from irspark.plans.lineage import materialize
-from irspark.plans.ordering import top_rows
-from irspark.plans.skew import hot_keys, lookup_join, skew_join
+from irspark.plans.ordering import rows_per_task, top_rows
+from irspark.plans.skew import broadcast_rows, fits_broadcast, hot_keys, lookup_join, skew_join
 
 
-def term_counts(
+def sparse_rows(
     texts: DataFrame,
     keys: Sequence[str] = ("doc_id",),
     text: str = "text",
     mode: str = "words",
     stop_words: Sequence[str] = (),
 ) -> DataFrame:
-    """Occurrences of every term per text: keys, term, tf.
+    """One sparse row per text: keys, cells (array of term, tf), terms in order.
 
-    Texts are distributed by document first, so counting here and normalising later reuse that
-    one distribution.
+    Terms are counted inside the text's own row: the sorted tokens are cut where the term changes.
+    Write the result once to fit and to transform the same texts with one tokenisation.
     """
     tokens = remove_stop_words(fold_tokens(F.col(text), mode), stop_words)
-    placed = texts.select(*keys, text).repartition(keys[0])
-    return (
-        placed.select(*keys, F.explode(tokens).alias("term"))
-        .groupBy(*keys, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+
+    def counted(words: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(words) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)))
+        return let(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda i, k: F.struct(
+                    F.get(words, i).alias("term"),
+                    (F.coalesce(F.get(at, k + 1), F.size(words)) - i).cast("bigint").alias("tf"),
+                ),
+            ),
+        )
+
+    cells = let(F.sort_array(tokens), lambda words: F.when(F.size(words) > 0, counted(words)))
+    return texts.select(*keys, cells.alias("cells"))
+
+
+def term_counts(
+    texts: DataFrame,
+    keys: Sequence[str] = ("doc_id",),
+    text: str = "text",
+    mode: str = "words",
+    stop_words: Sequence[str] = (),
+) -> DataFrame:
+    """Occurrences of every term per text: keys, term, tf. Takes texts, one row per key, or sparse rows."""
+    rows = texts if "cells" in texts.columns else sparse_rows(texts, keys, text, mode, stop_words)
+    return rows.select(*keys, F.explode("cells").alias("c")).select(*keys, "c.term", "c.tf")
 
 
 def fit_vocabulary(
@@ -44,8 +69,11 @@ def fit_vocabulary(
     mode: str = "words",
     stop_words: Sequence[str] = (),
 ) -> DataFrame:
-    """Most frequent terms of the corpus: term, tf (corpus count), df (documents)."""
-    counts = term_counts(texts, ("doc_id",), text, mode, stop_words)
+    """Most frequent terms of the corpus: term, tf (corpus count), df (documents).
+
+    Takes texts or sparse rows; counts are summed in each task before they move.
+    """
+    counts = term_counts(texts, (), text, mode, stop_words)
     totals = counts.groupBy("term").agg(
         F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df")
     )
@@ -83,11 +111,19 @@ def transform(
 ) -> DataFrame:
     """Weights tf x idf, scaled to unit length per text: keys, term, tf, weight.
 
-    `vocabulary_rows` bounds the vocabulary when known (the cap it was fitted with); it decides
-    between a broadcast and a join that splits frequent terms.
+    Takes texts, one row per key, or sparse rows. `vocabulary_rows` bounds the vocabulary when
+    known (the cap it was fitted with); it decides between a broadcast and a join that splits
+    frequent terms, which the fitted document counts name.
     """
     counts = term_counts(texts, keys, text, mode, stop_words)
-    known = lookup_join(counts, idf.select("term", "idf"), ["term"], "inner", vocabulary_rows)
+    known = idf.select("term", "idf")
+    fits = fits_broadcast(known) if vocabulary_rows is None else vocabulary_rows <= broadcast_rows(known)
+    if fits:
+        known = counts.join(F.broadcast(known), "term")
+    else:
+        rows = rows_per_task(counts)
+        heavy = idf.filter(F.col("df") > rows).select("term", F.ceil(F.col("df") / rows).cast("int").alias("_parts"))
+        known = skew_join(counts, known, ["term"], salt_on=list(keys), heavy=heavy)
     raw = F.col("tf") * F.col("idf")
     norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy(*keys)))
     return known.select(*keys, "term", "tf", (raw / norm).alias("weight"))

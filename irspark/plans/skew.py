@@ -92,7 +92,7 @@ def _bytes(value: Column, kind: T.DataType) -> Column:
     return 8 + F.greatest(F.coalesce(inner, F.lit(0)), F.lit(0))
 
 
-def _fits_broadcast(table: DataFrame) -> bool:
+def fits_broadcast(table: DataFrame) -> bool:
     """Whether the table may be broadcast, by its counted rows, then by the bytes of these few rows."""
     if table.count() > broadcast_rows(table):
         return False
@@ -115,7 +115,7 @@ def lookup_join(
     `table_rows` is a proven upper bound for the rows of a table of numbers and short keys;
     without one its rows and bytes are counted.
     """
-    fits = _fits_broadcast(table) if table_rows is None else table_rows <= broadcast_rows(table)
+    fits = fits_broadcast(table) if table_rows is None else table_rows <= broadcast_rows(table)
     if fits:
         return left.join(F.broadcast(table), list(on), how)
     return skew_join(left, table, on, how)

@@ -85,5 +85,54 @@ def test_random_places_are_repeatable_and_spread(spark):
 
 def test_corpus_keeps_the_crossing_row(spark):
     df = spark.createDataFrame([(i, "x" * 10) for i in range(10)], "doc_id long, text string")
-    kept = fields.corpus_sample(df, 25, [F.col("doc_id").asc()])
+    kept = fields.corpus_sample(df, 25, [F.col("doc_id")])
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2]
+
+
+def test_texts_never_move(spark, tmp_path):
+    rows = [(i, f"w{i % 7} common {'x' * i} word{i}") for i in range(50)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    docs = spark.read.parquet(str(tmp_path / "t"))
+    idf = tfidf.fit_idf(docs)
+    for df in (tfidf.fit_vocabulary(docs), tfidf.transform(docs, idf)):
+        plan = df._jdf.queryExecution().optimizedPlan()
+        nodes, below = [plan], []
+        while nodes:
+            node = nodes.pop()
+            children = node.children()
+            nodes += [children.apply(i) for i in range(children.size())]
+            if node.nodeName() in ("Aggregate", "Window", "RepartitionByExpression", "Join"):
+                below += [children.apply(i).output().mkString(",") for i in range(children.size())]
+        assert below and not any("text#" in b for b in below)
+    kept = fields.corpus_sample(docs, 300, [F.col("doc_id")])
+    assert "Exchange" not in kept._jdf.queryExecution().optimizedPlan().toString().split("scalar-subquery")[0]
+
+
+def test_sparse_rows(spark):
+    df = spark.createDataFrame([(1, "b a b"), (2, None), (3, ""), (4, "x " * 5000 + "é É"), (1, "a")], "doc_id long, text string")
+    got = [(r.doc_id, [tuple(c) for c in r.cells or []]) for r in tfidf.sparse_rows(df).collect()]
+    assert sorted(got) == [(1, [("a", 1)]), (1, [("a", 1), ("b", 2)]), (2, []), (3, []), (4, [("x", 5000), ("é", 2)])]
+    rows = tfidf.sparse_rows(df.filter("doc_id > 1"))
+    assert sorted(tfidf.transform(rows, tfidf.fit_idf(rows)).collect()) == sorted(
+        tfidf.transform(df.filter("doc_id > 1"), tfidf.fit_idf(df.filter("doc_id > 1"))).collect())
+
+
+def test_split_terms_give_the_same_weights(spark, tiny_limits):
+    rows = [(i, f"common w{i % 3} word{i}") for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = tfidf.transform(df, tfidf.fit_idf(df))
+    assert weights.count() == 270
+    norms = weights.groupBy("doc_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("n")).collect()
+    assert all(abs(r.n - 1) < 1e-9 for r in norms)
+
+
+def test_corpus_in_another_order(spark):
+    df = spark.createDataFrame([(i, None if i == 3 else "x" * (i + 1)) for i in range(30)], "doc_id long, text string")
+    order = [fields.random_order(F.col("doc_id"), "5"), F.col("doc_id")]
+    kept = {r.doc_id for r in fields.corpus_sample(df, 100, order).collect()}
+    want, total = set(), 0
+    for r in df.orderBy(*order).collect():
+        if total <= 100:
+            want.add(r.doc_id)
+        total += len(r.text or "")
+    assert kept == want and fields.corpus_sample(df.limit(0), 10, order).count() == 0
