@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from irspark.plans.lineage import materialize
@@ -285,6 +285,111 @@ def tree_value(tree: dict, features: Column) -> Column:
     )
 
 
+def _binned_tree(rows: DataFrame, depth: int, max_bins: int) -> dict:
+    learner = DecisionTreeRegressor(
+        featuresCol="vector",
+        labelCol="lambda",
+        predictionCol="_tree",
+        maxDepth=depth,
+        maxBins=max_bins,
+        minInstancesPerNode=1,
+        seed=0,
+    )
+    vectors = rows.select("lambda", array_to_vector("features").alias("vector"))
+    return tree_nodes(learner.fit(vectors)._java_obj.rootNode())
+
+
+def _node(tree: dict, features: Column) -> Column:
+    """Number of the leaf that a row falls into; node k has the children 2k and 2k + 1."""
+    if "value" in tree:
+        return F.lit(tree["number"])
+    test = F.get(features, F.lit(tree["feature"])) <= tree["threshold"]
+    return F.when(test, _node(tree["left"], features)).otherwise(_node(tree["right"], features))
+
+
+def _best_splits(rows: DataFrame, min_rows: int, one_task: bool) -> dict[int, tuple[int, float]]:
+    """Feature and threshold of the best split of every node that has one; rows: node, target, features.
+
+    One cell per (node, feature, value) and its running sums in the order of values; nothing is
+    binned. `one_task` says that a task may sort all rows of a node.
+    """
+    long = rows.select("node", "target", F.posexplode("features").alias("feature", "value"))
+    cells = long.filter("value is not null").groupBy("node", "feature", "value").agg(
+        F.sum("target").alias("s"), F.count(F.lit(1)).alias("n")
+    )
+    if one_task:
+        upto = Window.partitionBy("node", "feature").orderBy("value")
+        running = upto.rowsBetween(Window.unboundedPreceding, 0)
+        summed = cells.select(
+            "node", "feature", "value", F.lead("value").over(upto).alias("next"),
+            F.sum("s").over(running).alias("sl"), F.sum("n").over(running).alias("nl"),
+        )
+    else:
+        cells = materialize(cells)
+        summed = prefix_sum(
+            cells, ["node", "feature"], [F.col("value")], {"sl": F.col("s"), "nl": F.col("n")}
+        )
+        # Behind its last value a feature has no split; the next value is looked up for the best ones.
+        last = materialize(cells.groupBy("node", "feature").agg(F.max("value").alias("last")))
+        summed = lookup_join(summed, last, ["node", "feature"]).withColumn(
+            "next", F.when(F.col("value") < F.col("last"), F.col("value"))
+        )
+    # A row per node: at most 2^depth.
+    totals = rows.groupBy("node").agg(F.sum("target").alias("all_s"), F.count(F.lit(1)).alias("all_n"))
+    known = summed.join(F.broadcast(totals), "node")
+    sr, nr = F.col("all_s") - F.col("sl"), F.col("all_n") - F.col("nl")
+    gain = F.col("sl") * F.col("sl") / F.col("nl") + sr * sr / nr
+    # Sums come in any order, so gains are compared at six digits; then feature and value decide.
+    place = F.struct(F.round("gain", 6).alias("g"), -F.col("feature"), -F.col("value"))
+    best = (
+        known.filter((F.col("nl") >= min_rows) & (nr >= min_rows) & F.col("next").isNotNull())
+        .withColumn("gain", gain)
+        .filter(F.col("gain") - F.col("all_s") * F.col("all_s") / F.col("all_n") > 1e-9)
+        .groupBy("node")
+        .agg(F.max_by(F.struct("feature", "value", "next"), place).alias("b"))
+        .select("node", "b.*")
+    )
+    if not one_task:
+        best = materialize(best)
+        chosen = F.broadcast(best.select("node", "feature", F.col("value").alias("_at")))
+        after = cells.join(chosen, ["node", "feature"]).filter(F.col("value") > F.col("_at"))
+        after = after.groupBy("node").agg(F.min("value").alias("next"))
+        best = best.drop("next").join(F.broadcast(after), "node", "left")
+    middle = (F.col("value") + F.col("next")) / 2
+    return {r.node: (r.feature, r.middle) for r in best.select("node", "feature", middle.alias("middle")).collect()}
+
+
+def exact_tree(rows: DataFrame, target: str, depth: int, min_rows: int = 1) -> dict:
+    """Regression tree of at most `depth` levels with the exact best splits by squared error.
+
+    `rows` has `features` (array<double>, missing values allowed) and the target. Of equal splits
+    the one of the first feature and the smallest value is taken; the threshold is the middle to
+    the next value in the node. Rows whose value is missing go right. Returns nodes as `tree_value` reads them.
+    """
+    rows = rows.select("features", F.col(target).alias("target"))
+    one_task = rows.count() <= rows_per_task(rows)
+    root: dict = {"number": 1, "value": 0.0}
+    leaves = {1: root}
+    for _ in range(depth):
+        placed = rows.withColumn("node", _node(root, F.col("features")))
+        # A leaf without a split is looked at again; its rows are the same, so it stays one.
+        splits = _best_splits(placed, min_rows, one_task)
+        for number, (feature, threshold) in splits.items():
+            node = leaves.pop(number)
+            children = [{"number": 2 * number + i, "value": 0.0} for i in (0, 1)]
+            node.clear()
+            node.update(feature=feature, threshold=threshold, left=children[0], right=children[1])
+            leaves.update({c["number"]: c for c in children})
+        if not splits:
+            break
+    means = rows.groupBy(_node(root, F.col("features")).alias("node")).agg(F.avg("target").alias("mean"))
+    for r in means.collect():
+        leaves[r.node]["value"] = r.mean
+    for leaf in leaves.values():
+        del leaf["number"]
+    return root
+
+
 Normalizer = Callable[[DataFrame], DataFrame]
 
 
@@ -297,14 +402,14 @@ def fit(
     valid_share: float = 0.2,
     normalize: Normalizer = normalize_labels,
     k_delta: int | None = None,
-    max_bins: int = 128,
+    max_bins: int | None = None,
     metrics: bool = True,
     metrics_k: int = 5,
 ) -> tuple[LambdaRankModel, list[dict]]:
     """Boost trees on the ranking gradient of the training queries.
 
-    Each round fits one tree of depth `start_depth` and adds it, scaled, to the scores of all
-    rows. Returns the model and, when asked, one record per round with pair errors and NDCG of
+    Each round fits one tree of depth `start_depth` with exact splits (with `max_bins`, splits at
+    the borders of that many bins) and adds it, scaled, to the scores of all rows. Returns the model and, when asked, one record per round with pair errors and NDCG of
     both parts and the length of the gradient.
     """
     rows = normalize(split_by_query(data, valid_share))
@@ -312,25 +417,16 @@ def fit(
     # Rows are not gathered by query: a large query would fill one task.
     rows = materialize(rows)
     largest = rows.groupBy("query_id").count().agg(F.max("count")).first()[0] or 0
-    learner = DecisionTreeRegressor(
-        featuresCol="vector",
-        labelCol="lambda",
-        predictionCol="_tree",
-        maxDepth=start_depth,
-        maxBins=max_bins,
-        minInstancesPerNode=1,
-        seed=0,
-    )
     model = LambdaRankModel(learning_rate)
     history: list[dict] = []
     for number in range(n_estimators):
         train = rows.filter(F.col("part") == "train")
         gradient = materialize(
-            lambda_gradient(train, "h", sigma, k_delta, largest).select(
-                "lambda", array_to_vector("features").alias("vector")
-            )
+            lambda_gradient(train, "h", sigma, k_delta, largest).select("lambda", "features")
+        )
+        tree = exact_tree(gradient, "lambda", start_depth) if max_bins is None else _binned_tree(
+            gradient, start_depth, max_bins
         )
-        tree = tree_nodes(learner.fit(gradient)._java_obj.rootNode())
         model.trees.append(tree)
         step = tree_value(tree, F.col("features")) * learning_rate
         rows = materialize(rows.withColumn("h", F.col("h") + step))

@@ -144,3 +144,59 @@ def test_many_trees(spark):
     df = frame(spark, n=30)
     for r in ltr.predict(df, model, "p").collect():
         assert r.p == pytest.approx(sum(0.01 * walk(t, r.features) for t in model.trees))
+
+
+def own_tree(x, y, depth):
+    """Exact tree by trying every split."""
+    best, n = None, len(y)
+    base = y.sum() ** 2 / n
+    for f in range(x.shape[1]) if depth else ():
+        values = np.unique(x[~np.isnan(x[:, f]), f])
+        for low, high in zip(values, values[1:]):
+            left = x[:, f] <= low
+            gain = y[left].sum() ** 2 / left.sum() + y[~left].sum() ** 2 / (~left).sum()
+            if gain - base > 1e-9 and (best is None or round(gain, 6) > best[0]):
+                best = (round(gain, 6), f, (low + high) / 2, left)
+    if best is None:
+        return {"value": y.mean()}
+    _, f, threshold, left = best
+    return {"feature": f, "threshold": threshold, "left": own_tree(x[left], y[left], depth - 1),
+            "right": own_tree(x[~left], y[~left], depth - 1)}
+
+
+def same_tree(a, b):
+    if "value" in a:
+        assert a["value"] == pytest.approx(b["value"])
+    else:
+        assert (a["feature"], a["threshold"]) == (b["feature"], pytest.approx(b["threshold"]))
+        same_tree(a["left"], b["left"])
+        same_tree(a["right"], b["right"])
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_exact_tree(spark, split, request):
+    if split:
+        request.getfixturevalue("tiny_limits")
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    x[rng.random((300, 4)) < 0.05] = np.nan
+    x[:, 3] = 7.0
+    y = np.where(x[:, 1] > 0.3, 2.0, -1.0) + rng.normal(size=300) * 0.1
+    rows = [([None if np.isnan(v) else float(v) for v in r], float(t)) for r, t in zip(x, y)]
+    df = spark.createDataFrame(rows, "features array<double>, t double").repartition(5)
+    same_tree(ltr.exact_tree(df, "t", 3), own_tree(x, y, 3))
+
+
+def test_exact_tree_without_splits(spark):
+    df = spark.createDataFrame([([1.0, 2.0], 5.0)] * 4, "features array<double>, t double")
+    assert ltr.exact_tree(df, "t", 3) == {"value": 5.0}
+    two = spark.createDataFrame([([1.0, None], 1.0), ([3.0, None], 2.0)], "features array<double>, t double")
+    assert ltr.exact_tree(two, "t", 3) == {"feature": 0, "threshold": 2.0, "left": {"value": 1.0}, "right": {"value": 2.0}}
+
+
+def test_binned_trees_stay(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i % 4, i, float(i % 3), rng.random(3).tolist()) for i in range(80)]
+    df = spark.createDataFrame(rows, "query_id long, doc_id long, label double, features array<double>")
+    model, _ = ltr.fit(df, 1, max_bins=8, metrics=False)
+    assert "feature" in model.trees[0]
