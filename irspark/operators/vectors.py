@@ -8,14 +8,17 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import cloudpickle
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from irspark.plans.limits import VECTOR_BYTES, limit
+from irspark.plans.lineage import materialize
 from irspark.plans.ordering import top_within
+from irspark.plans.skew import fits_broadcast, lookup_join, skew_join
 
 # Workers get the functions of this module with the task and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -24,6 +27,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHANNEL_MEANS = (103.939, 116.779, 123.68)
 # Distances are compared at this many digits, so equal vectors tie and go by id.
 DIGITS = 9
+# A worker's bound of bytes holds this many blocks; bits for the place of a vector in its block.
+_BLOCKS_HELD, _PLACE_BITS = 16, 20
+_MOST_ROWS = 1 << 13
 
 
 def _resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
@@ -98,18 +104,51 @@ def image_features(
     )
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
-
-
 def _unit(matrix: np.ndarray) -> np.ndarray:
     length = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
     with np.errstate(divide="ignore", invalid="ignore"):
         return matrix / length[:, None]
 
 
+def _whole(vector: str) -> Column:
+    """Whether a vector is there with all its components."""
+    return F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull()) & (F.size(vector) > 0)
+
+
+def _packed(base: DataFrame, by: list[str], key: str, vector: str, block_bytes: int) -> DataFrame:
+    """Vectors in blocks of bounded size, as they are read: by, dim, block, keys (sorted), vectors (flat)."""
+    kind = base.schema[key].dataType
+    out = T.StructType(
+        [base.schema[c] for c in by]
+        + [T.StructField("dim", T.IntegerType()), T.StructField("block", T.LongType()),
+           T.StructField("keys", T.ArrayType(kind)), T.StructField("vectors", T.ArrayType(T.DoubleType()))]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            table = batch.take(pc.sort_indices(batch.column(0)))
+            names = list(zip(pc.list_value_length(table.column(1)).to_pylist(), *[c.to_pylist() for c in table.columns[2:]]))
+            places: dict[tuple, list[int]] = {}
+            for row, name in enumerate(names):
+                places.setdefault(name, []).append(row)
+            for (dim, *values), rows in places.items():
+                size = max(1, min(block_bytes // (8 * dim), _MOST_ROWS))
+                for at in range(0, len(rows), size):
+                    part = table.take(pa.array(rows[at : at + size]))
+                    flat = part.column(1).flatten().cast(pa.float64())
+                    yield pa.RecordBatch.from_arrays(
+                        [*[part.column(2 + n).slice(0, 1) for n in range(len(by))], pa.array([dim], pa.int32()),
+                         pa.array([number], pa.int64()),
+                         pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0)),
+                         pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)],
+                        names=out.names,
+                    )
+                    number += 1
+
+    return base.select(key, vector, *by).mapInArrow(run, out)
+
+
 def similar(
     base: DataFrame,
     queries: DataFrame,
@@ -117,97 +156,95 @@ def similar(
     key: str = "vec_id",
     query_key: str = "query_id",
     vector: str = "embedding",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Nearest base vectors of every query: query_key, key, distance, rank.
+    """Nearest base vectors of every query with equal values of `by`: by, query_key, key, distance, rank.
 
-    The base is read once per slice of queries. A slice is held by every worker and its size is
-    bounded, so many queries mean several slices. Each task keeps only the best `top` rows per
-    query it has seen, and those few rows meet in the final cut. Null vectors, those with a null
-    component and those of another length than the longest query take no part.
+    Blocks of queries meet blocks of vectors of the same length. The base is packed into blocks
+    where it is read; the queries' blocks are sent to all of them, by broadcast if their counted
+    size allows, else by a join that spreads the base. Each pair of blocks keeps `top` rows per
+    query. Vectors that are null, empty or have a null component take no part, nor does a query
+    without a vector of its length; `unmatched` lists those. A vector without direction comes last.
     """
-    spark = base.sparkSession
-    whole = F.col(vector).isNotNull() & ~F.exists(vector, lambda x: x.isNull())
-    wanted = queries.filter(whole).select(query_key, F.col(vector).cast("array<double>").alias("_v"))
-    stats = wanted.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("_v")), F.lit(0)).alias("d")
-    ).first()
-    base = base.filter(whole & (F.size(vector) == stats.d))
-    wanted = wanted.filter(F.size("_v") == stats.d)
-    per_slice = max(1, limit(spark, VECTOR_BYTES) // max(1, 8 * stats.d))
-    # Slices are drawn by hash; half the bound leaves room for uneven ones.
-    slices = 1 if stats.n <= per_slice else -(-2 * stats.n // per_slice)
-    found = None
-    for s in range(slices):
-        part = wanted if slices == 1 else wanted.filter(F.pmod(F.xxhash64(query_key), F.lit(slices)) == s)
-        near = _nearest_of_slice(base, part, top, key, query_key, vector)
-        found = near if found is None else found.unionByName(near)
-    return top_within(
-        found, [query_key], [F.col("distance").asc(), F.col(key).asc()], top
+    by = list(by)
+    bound = limit(base.sparkSession, VECTOR_BYTES)
+    wanted = queries.filter(_whole(vector)).select(
+        *by, F.size(vector).alias("dim"), F.col(query_key).alias("k"), F.col(vector).cast("array<double>").alias("v")
     )
-
-
-def _nearest_of_slice(
-    base: DataFrame, part: DataFrame, top: int, key: str, query_key: str, vector: str
-) -> DataFrame:
-    """Per task the best rows of every query of one bounded slice."""
-    spark = base.sparkSession
-    table = part.toArrow()
-    ids = table.column(query_key).to_pylist()
-    id_type = table.schema.field(query_key).type
-    held = spark.sparkContext.broadcast(_unit(_matrix(table.column("_v"))))
+    size = wanted.agg(F.sum(8 * F.col("dim").cast("bigint"))).first()[0] or 0
+    # Blocks are drawn by hash; half the bound leaves room for uneven ones.
+    groups = max(1, -(-2 * size * _BLOCKS_HELD // bound))
+    listed = F.collect_list(F.struct("k", "v"))
+    asked = wanted.groupBy(*by, "dim", F.pmod(F.xxhash64("k", "v"), F.lit(groups)).alias("_group")).agg(listed.alias("_q"))
+    asked = materialize(asked.select(
+        *by, "dim", F.col("_q.k").alias("asking"), F.flatten("_q.v").alias("asked")))
+    given = base.filter(_whole(vector))
+    blocks = _packed(given, by, key, vector, bound // _BLOCKS_HELD)
+    on = [*by, "dim"]
+    if fits_broadcast(asked):
+        pairs = blocks.join(F.broadcast(asked), on)
+    else:
+        rows = given.groupBy(*by, F.size(vector).alias("dim")).agg(F.count(F.lit(1)).alias("n"))
+        per_part = F.greatest(F.floor(F.lit(bound) / (8 * F.col("dim"))), F.lit(1))
+        heavy = materialize(rows.select(*on, F.ceil(F.col("n") / per_part).cast("int").alias("_parts")).filter("_parts > 1"))
+        pairs = skew_join(blocks, asked, on, salt_on=["block"], heavy=heavy)
+    found = _nearest(pairs, by, top, key, query_key)
+    return top_within(found, [*by, query_key], [F.col("distance").asc(), F.col(key).asc()], top)
+
+
+def _nearest(pairs: DataFrame, by: list[str], top: int, key: str, query_key: str) -> DataFrame:
+    """The best rows of every query of each pair of blocks."""
+    schema = pairs.schema
     out = T.StructType(
-        [
-            T.StructField(query_key, part.schema[query_key].dataType),
-            T.StructField(key, base.schema[key].dataType),
-            T.StructField("distance", T.DoubleType()),
-        ]
+        [schema[c] for c in by]
+        + [T.StructField(query_key, schema["asking"].dataType.elementType),
+           T.StructField(key, schema["keys"].dataType.elementType), T.StructField("distance", T.DoubleType())]
     )
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        want = held.value
-        key_type = None
-        best_d = [np.empty(0)] * len(ids)
-        best_k: list[np.ndarray] = [np.empty(0, dtype=object)] * len(ids)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows or not ids:
-                continue
-            key_type = batch.schema.field(0).type
-            keys = np.asarray(batch.column(0).to_pylist(), dtype=object)
-            distance = np.round(1.0 - want @ _unit(_matrix(batch.column(1))).T, DIGITS) + 0.0
-            for q in range(len(ids)):
-                d = np.concatenate([best_d[q], distance[q]])
-                k = np.concatenate([best_k[q], keys])
-                if len(d) > top:
-                    # Everything up to the last kept distance stays until ids decide the ties. A
-                    # zero vector has no direction; its distance is not a number and comes last.
-                    by = np.where(np.isnan(d), np.inf, d)
-                    cut = np.partition(by, top - 1)[top - 1]
-                    kept = np.flatnonzero(by <= cut)
-                    order = sorted(kept, key=lambda i: (by[i], k[i]))[:top]
-                    d, k = d[order], k[order]
-                best_d[q], best_k[q] = d, k
-        for q, name in enumerate(ids):
-            if len(best_d[q]):
+            for row in range(batch.num_rows):
+                keys, flat, names, wanted = (batch.column(len(by) + i)[row].values for i in range(4))
+                want = wanted.to_numpy(zero_copy_only=False).reshape(len(names), -1)
+                have = flat.to_numpy(zero_copy_only=False).reshape(len(keys), -1)
+                distance = np.round(1.0 - _unit(want) @ _unit(have).T, DIGITS) + 0.0
+                # Whole numbers of distance and place; keys are sorted, so equal distances go by
+                # key. A zero vector has no direction; its distance is not a number and comes last.
+                code = np.where(np.isnan(distance), 4.0, distance) * 10.0**DIGITS
+                code = (np.rint(code).astype(np.int64) << _PLACE_BITS) | np.arange(len(keys))
+                n = min(top, len(keys))
+                best = np.partition(code, n - 1, axis=1)[:, :n] & ((1 << _PLACE_BITS) - 1)
+                whose = np.repeat(np.arange(len(names)), n)
+                at = best.ravel()
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([name] * len(best_d[q]), id_type),
-                        pa.array(list(best_k[q]), key_type),
-                        pa.array(best_d[q], pa.float64()),
-                    ],
-                    names=[query_key, key, "distance"],
+                    [*[batch.column(i).take(pa.array(np.full(len(at), row))) for i in range(len(by))],
+                     names.take(pa.array(whose)), keys.take(pa.array(at)), pa.array(distance[whose, at], pa.float64())],
+                    names=out.names,
                 )
 
-    return base.select(key, vector).mapInArrow(search, out)
+    return pairs.select(*by, "keys", "vectors", "asking", "asked").mapInArrow(run, out)
+
+
+def unmatched(
+    base: DataFrame,
+    queries: DataFrame,
+    query_key: str = "query_id",
+    vector: str = "embedding",
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Queries that `similar` gives no row for: by, query_key, reason (`no vector` or `length`)."""
+    on = [*by, "dim"]
+    lengths = materialize(base.filter(_whole(vector)).select(*by, F.size(vector).alias("dim")).distinct())
+    whole = F.coalesce(_whole(vector), F.lit(False))
+    dim = F.when(whole, F.size(vector)).alias("dim")
+    known = lookup_join(queries.select(*by, query_key, dim), lengths.withColumn("_known", F.lit(True)), on, "left")
+    reason = F.when(F.col("dim").isNull(), "no vector").otherwise("length")
+    return known.filter("_known is null").select(*by, query_key, reason.alias("reason"))
 
 
 def similar_by_layer(
     base: DataFrame, queries: DataFrame, layers: Sequence[int], top: int = 10, **names: str
 ) -> DataFrame:
-    """The same queries against the feature tables of several layers: adds `layer`."""
-    found = None
-    for layer in layers:
-        of_base = base.filter(F.col("layer") == layer)
-        of_queries = queries.filter(F.col("layer") == layer)
-        near = similar(of_base, of_queries, top, **names).withColumn("layer", F.lit(layer))
-        found = near if found is None else found.unionByName(near)
-    return found
+    """The same queries against the feature tables of several layers, in one pass: adds `layer`."""
+    wanted = F.col("layer").isin(list(layers))
+    return similar(base.filter(wanted), queries.filter(wanted), top, by=["layer"], **names)

@@ -49,15 +49,17 @@ def base(spark, n=200):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>"), m
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 300])
-def test_similar_is_exact(spark, limit):
+@pytest.mark.parametrize("limit, sent", [(1 << 20, 1 << 23), (300, 1 << 23), (3000, 10)])
+def test_similar_is_exact(spark, limit, sent):
     df, m = base(spark)
     spark.conf.set("spark.irspark.vectorBytes", str(limit))
+    spark.conf.set("spark.irspark.broadcastBytes", str(sent))
     try:
         queries = df.filter(F.col("vec_id") < 20).withColumnRenamed("vec_id", "query_id")
         got = vectors.similar(df.repartition(3), queries, 5).orderBy("query_id", "rank").collect()
     finally:
         spark.conf.unset("spark.irspark.vectorBytes")
+        spark.conf.unset("spark.irspark.broadcastBytes")
     unit = m.astype(np.float32).astype(float)
     unit /= np.linalg.norm(unit, axis=1)[:, None]
     distance = np.round(1 - unit @ unit.T, 9) + 0.0
@@ -86,3 +88,23 @@ def test_features_by_layer(spark):
 
     got = vectors.image_features(df, model, 1, (3, 2, 2)).orderBy("path").collect()
     assert [list(r.embedding) for r in got] == [[2.0 * i, 2.0 * i] for i in range(5)]
+
+
+def test_odd_lengths_take_nothing_from_others(spark):
+    rows = [(i, [1.0, float(i)]) for i in range(6)] + [(50, [1.0, 2.0, 3.0]), (51, []), (52, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    asked = [("a", [1.0, 3.0]), ("long", [1.0] * 5), ("three", [2.0, 4.0, 6.0]), ("null", None), ("hole", [1.0, None]), ("none", [])]
+    queries = spark.createDataFrame(asked, "query_id string, embedding array<double>")
+    got = vectors.similar(df, queries, 3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [("a", 3), ("a", 4), ("a", 5), ("three", 50)]
+    odd = vectors.unmatched(df, queries).collect()
+    assert sorted(map(tuple, odd)) == [("hole", "no vector"), ("long", "length"), ("none", "no vector"), ("null", "no vector")]
+    assert vectors.similar(df.limit(0), queries, 3).count() == vectors.similar(df, queries.limit(0), 3).count() == 0
+
+
+def test_no_base_row_is_shuffled_before_the_cut(spark):
+    df, _ = base(spark)
+    queries = df.filter("vec_id < 3").withColumnRenamed("vec_id", "query_id")
+    plan = vectors.similar(df, queries, 2)._jdf.queryExecution().executedPlan().toString()
+    below = plan.split("WindowGroupLimit")[-1]
+    assert "BroadcastHashJoin" in below and "hashpartitioning" not in below
