@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from irspark.llm import hostrank, licenses
 from irspark.llm.query_web import RULES, op2_urls, op8_licenses
@@ -169,3 +170,13 @@ def test_licenses_odd_rows(spark):
     out = licenses.scan(given).collect()
     assert sorted((tuple(r) for r in out), key=str) == scanned(files)
     assert licenses.scan(given.limit(0)).count() == 0
+
+
+def test_op8_with_odd_ids(spark, tmp_path):
+    """Null and negative ids, and languages that end in digits, through the query itself."""
+    mit = "Licensed under the MIT License."
+    rows = [(None, "nothing", "en"), (None, "nothing here", "x9"), (-20, "plain", "en"), (-5, "plain", "v12"), (7, None, None), (40, mit, "en")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").withColumn("source", F.lit("s1")).write.parquet(
+        f"{tmp_path}/documents.parquet")
+    found = op8_licenses(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in found) == sorted((d is None, d or 0) for d, _, _ in rows)
