@@ -1,7 +1,8 @@
 """Quality rules: how far a document's characters and common words are from its language's.
 
 A language's reference is counted over all documents of that language: the shares of character
-classes, and the shares of its common words with one bin for all other words. A document is kept
+classes, and the shares of its common words with one bin for all other words. Both are smoothed
+towards the shares over all documents, so a rare language has a reference too. A document is kept
 if it passes a few counted rules and if the Jensen-Shannon distances (base 2, from 0 to 1) of its
 own two histograms to the reference are within limits. Short documents have noisy histograms, so
 each comparison is made from a minimum length on.
@@ -33,8 +34,8 @@ class Limits:
 
     common_share: a word is common if it makes up this share of its language's words (so a
     language has at most 1 / common_share of them). Distances are compared from min_chars
-    characters and min_words words on, and their sum where both are. Languages with fewer than
-    language_words words have no reference; there the base rules alone decide.
+    characters and min_words words on, and their sum where both are. The shares over all documents
+    count as much as smoothing_words words of the language itself.
     """
 
     base_words: int = 20
@@ -45,7 +46,7 @@ class Limits:
     max_char_distance: float = 0.32
     max_word_distance: float = 0.46
     max_sum: float = 0.64
-    language_words: int = 20_000
+    smoothing_words: int = 100
 
 
 def _class_table() -> np.ndarray:
@@ -85,8 +86,11 @@ def _class_counts(counts: np.ndarray) -> np.ndarray:
 def references(docs: DataFrame, limits: Limits, text: str = "text", lang: str = "lang") -> dict:
     """References by language: class shares and (common word, share) pairs.
 
-    Words are counted by Spark and only common ones reach the driver: at most 1 / common_share
-    for each of the bounded number of languages. No word is left out of the counts.
+    With N words of a language and K smoothing words, the share of a word is (its count there +
+    K * its share of all words) / (N + K); character classes alike, with the characters of K
+    average words. Words are counted by Spark and only common ones reach the driver: at most
+    1 / common_share for each of the bounded number of languages, and as many of all words. No
+    word is left out of the counts, and every language that occurs has a reference.
     """
     given = docs.select(language(docs[lang]).alias("lang"), docs[text].cast("string").alias("text"))
 
@@ -106,24 +110,48 @@ def references(docs: DataFrame, limits: Limits, text: str = "text", lang: str =
     classes = [F.sum(F.col("counts")[i]).alias(str(i)) for i in range(_CLASSES)]
     per_language = given.mapInArrow(totals, "lang string, n bigint, counts array<bigint>").groupBy("lang").agg(
         F.sum("n").alias("n"), *classes)
-    large = [r for r in per_language.collect() if r.n >= limits.language_words]
-    out = {r.lang: ([r[str(i)] / max(1, sum(r[str(k)] for k in range(_CLASSES))) for i in range(_CLASSES)], [])
-           for r in large}
-    if not large:
+    rows = sorted(per_language.collect())
+    n_all = sum(r.n for r in rows)
+    in_all = [sum(r[str(i)] for r in rows) for i in range(_CLASSES)]
+    weight = limits.smoothing_words
+    # Characters that go with the smoothing words.
+    chars = weight * sum(in_all) / max(1, n_all)
+    out = {}
+    for r in rows:
+        own = [r[str(i)] for i in range(_CLASSES)]
+        total = max(1.0, sum(own) + chars)
+        out[r.lang] = ([(x + chars * a / max(1, sum(in_all))) / total for x, a in zip(own, in_all)], [])
+    if not n_all:
         return out
     # One row per language, of which there is a bounded number.
-    least = docs.sparkSession.createDataFrame([(r.lang, r.n, limits.common_share * r.n) for r in large],
-                                              "lang string, total bigint, least double")
+    totals_of = docs.sparkSession.createDataFrame([(r.lang, r.n) for r in rows], "lang string, total bigint")
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    common = (
+    smoothed = (F.col("x.n") + weight * F.col("n_w") / n_all) / (F.col("x.total") + weight)
+    words = (
         given.select("lang", F.explode(F.split("text", _BLANKS)).alias("w"))
         .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("lang", F.translate("w", upper, lower).alias("w")).agg(F.sum("n").alias("n"))
-        .join(F.broadcast(least), "lang")
-        .filter((F.col("n") >= F.col("least")) & (F.col("w") != ""))
+        .filter(F.col("w") != "")
+        .join(F.broadcast(totals_of), "lang")
+        # A word has one entry per language at most.
+        .groupBy("w").agg(F.sum("n").alias("n_w"), F.collect_list(F.struct("lang", "n", "total")).alias("x"))
+        .select("w", "n_w", F.posexplode("x").alias("no", "x"))
+        .select("w", "n_w", "no", "x.lang", smoothed.alias("share"))
     )
-    for r in sorted(common.collect()):
-        out[r.lang][1].append((r.w, r.n / r.total))
+    everywhere = F.col("n_w") >= limits.common_share * n_all
+    found = words.filter((F.col("share") >= limits.common_share) | (everywhere & (F.col("no") == 0))).collect()
+    common = {r.w: r.n_w / n_all for r in found if r.n_w >= limits.common_share * n_all}
+    shares: dict[str, dict] = {r.lang: {} for r in rows}
+    for r in found:
+        if r.share >= limits.common_share:
+            shares[r.lang][r.w] = r.share
+    for r in rows:
+        # Words common in the corpus that the language lacks; those it has are found above.
+        for w, share in common.items():
+            there = weight * share / (r.n + weight)
+            if there >= limits.common_share:
+                shares[r.lang].setdefault(w, there)
+        out[r.lang][1].extend(sorted(shares[r.lang].items()))
     return out
 
 
@@ -212,7 +240,7 @@ def judge(docs: DataFrame, limits: Limits = Limits(), text: str = "text", lang:
 
     References come from `corpus` (default: the documents themselves). A null text has no words;
     it fails the base rules, as does every text of fewer than 20 words. Distances are null below
-    the minimum lengths, or without a reference, and then decide nothing. Rows stand alone: repeated rows get equal
+    the minimum lengths and then decide nothing. Rows stand alone: repeated rows get equal
     verdicts, and an empty table stays empty. Columns with the added names are replaced.
     """
     packed = json.dumps(references(docs if corpus is None else corpus, limits, text, lang))

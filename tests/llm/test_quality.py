@@ -67,12 +67,30 @@ def test_distance():
 
 
 def test_references_are_exact_shares(spark, documents):
-    rows = [(i, "the Cat The end" if i % 2 else "cat sat", "en") for i in range(50)] + [(99, "le chat", "fr")]
-    refs = quality.references(documents(rows), quality.Limits(language_words=10, common_share=0.01))
-    assert list(refs) == ["en"]  # two words are no reference
-    n = 25 * 4 + 25 * 2
-    assert dict(refs["en"][1]) == pytest.approx({"the": 50 / n, "cat": 50 / n, "end": 25 / n, "sat": 25 / n})
-    assert sum(refs["en"][0]) == pytest.approx(1)
+    rows = [(i, "the Cat The end" if i % 2 else "cat sat", "en") for i in range(50)] + [(99, "le chat", "fr"), (7, None, "de")]
+    refs = quality.references(documents(rows), quality.Limits(smoothing_words=10, common_share=0.01))
+    counts = {"en": Counter(the=50, cat=50, end=25, sat=25), "fr": Counter(le=1, chat=1), "de": Counter()}
+    every = sum(counts.values(), Counter())
+    n_all = sum(every.values())
+    assert set(refs) == set(counts)  # two words, or none, have a reference too
+    for lang, own in counts.items():
+        want = {w: (own[w] + 10 * every[w] / n_all) / (sum(own.values()) + 10) for w in every}
+        assert dict(refs[lang][1]) == pytest.approx({w: s for w, s in want.items() if s >= 0.01})
+        assert sum(refs[lang][0]) == pytest.approx(1)
+
+
+def test_a_rare_language_is_judged(spark):
+    """Documents of every language are compared, whatever the size of the table; clean ones stay."""
+    for sf in ("0.001", "0.01"):
+        d = f"/root/testdata/sf{sf}"
+        docs = table(spark, d, "documents")
+        labels = {r.doc_id: r.quality for r in table(spark, d, "labels").collect()}
+        out = quality.judge(docs).select("doc_id", "lang", "n_words", "base_failed", "kept", "word_distance").collect()
+        assert all((r.word_distance is not None) == (r.n_words >= 60) for r in out)
+        clean = [r.kept for r in out if not r.base_failed and labels.get(r.doc_id) == 1]
+        assert clean.count(False) <= 0.005 * len(clean)
+        junk = [r.kept for r in out if not r.base_failed and labels.get(r.doc_id) == 0]
+        assert junk.count(False) >= 0.9 * len(junk)
 
 
 def test_junk_goes_and_clean_documents_stay(spark):
