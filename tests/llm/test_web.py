@@ -105,34 +105,59 @@ def tokens(line):
     return re.findall(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*", line.lower())
 
 
-def own_licenses(files):
-    lines = {x for _, t in files for x in (t or "").split("\n") if re.search(r"(?i)licen[cs]e|copyright|public domain", x)}
-    short = {x: Counter(tokens(x)) for x in lines if 1 <= len(tokens(x)) <= 64}
-    given = {k: Counter(tokens(v)) for k, v in licenses.TEMPLATES.items()}
-    n = len(short) + len(given)
-    df = Counter(t for c in [*short.values(), *given.values()] for t in c)
+def is_license(path):
+    return path is not None and re.search(r"(?i)(^|/)(LICEN[CS]E|COPYING)[^/]*$", path)
+
+
+def cosines(texts, corpus, templates):
+    """text -> {template: cosine} of counted terms, by the frequencies in corpus and templates."""
+    given = {k: Counter(tokens(v)) for k, v in templates.items()}
+    held = [set(tokens(x)) for x in corpus]
+    df = Counter(t for c in [*held, *given.values()] for t in set(c))
+    n = sum(1 for c in held if c) + len(given)
     idf = {t: math.log((1 + n) / (1 + k)) + 1 for t, k in df.items()}
     norm = lambda c: math.sqrt(sum((v * idf[t]) ** 2 for t, v in c.items()))
-    found = {}
+    out = {}
+    for x in texts:
+        c = Counter(tokens(x))
+        if c:
+            out[x] = {k: round(sum(v * g[t] * idf[t] ** 2 for t, v in c.items() if t in g) / (norm(c) * norm(g)), 6)
+                      for k, g in given.items()}
+    return out
+
+
+def runs(line):
+    """The line, and if it is long every run of its terms as long as a template that states something."""
+    lengths = {len(tokens(v)) for v in licenses.TEMPLATES.values()}
+    t = tokens(line)
+    out = {line}
+    if len(t) > 2 * max(lengths):
+        states = [bool(re.search("licen[cs]e|copyright|^public$", x)) for x in t]
+        out |= {" ".join(t[i : i + k]) for k in lengths for i in range(len(t) - k + 1) if any(states[i : i + k])}
+    return out
+
+
+def own_licenses(files):
+    lines = {x for _, t in files for x in (t or "").split("\n") if re.search(r"(?i)licen[cs]e|copyright|public domain", x)}
+    parts = {x: runs(x) for x in lines}
+    scores = cosines({u for us in parts.values() for u in us}, lines, licenses.TEMPLATES)
+    bodies = [" ".join(t or "" for p, t in files if p == path) for path in sorted({p for p, _ in files if is_license(p)})]
+    whole = cosines(bodies, bodies, licenses.BODIES)
+    by_path = defaultdict(list)
     for path, text in files:
-        best = []
-        for x in (text or "").split("\n"):
-            for k, g in given.items():
-                if x in short:
-                    dot = sum(v * g[t] * idf[t] ** 2 for t, v in short[x].items() if t in g)
-                    score = round(dot / (norm(short[x]) * norm(g)), 6)
-                    if score >= licenses.THRESHOLD:
-                        best.append((-score, k))
-        if best:
-            found[path] = min([min(best)] + ([(-found[path][1], found[path][0])] if path in found else []))[::-1]
-            found[path] = (found[path][0], -found[path][1])
-    return found
+        by_path[path] += [(-v, k) for x in (text or "").split("\n") for u in parts.get(x, ()) for k, v in scores.get(u, {}).items()]
+    for path in by_path:
+        if is_license(path):
+            text = " ".join(t or "" for p, t in files if p == path)
+            by_path[path] += [(-v, k) for k, v in whole.get(text, {}).items()]
+    best = {p: min(found) for p, found in by_path.items() if found}
+    return {p: (k, -v) for p, (v, k) in best.items() if -v >= licenses.THRESHOLD}
 
 
 def scanned(files):
     own = own_licenses(files)
     folders = {}
-    for p in sorted((p for p in own if p is not None and re.search(r"(?i)(^|/)(LICEN[CS]E|COPYING)[^/]*$", p)), reverse=True):
+    for p in sorted((p for p in own if is_license(p)), reverse=True):
         folders[p.rpartition("/")[0]] = own[p]
     out = []
     for p, _ in files:
@@ -172,6 +197,19 @@ def test_licenses_odd_rows(spark):
     assert licenses.scan(given.limit(0)).count() == 0
 
 
+def test_statements_in_long_lines_and_bodies(spark):
+    mit, prose = licenses.TEMPLATES["MIT"], "plain words about the weather and the sea "
+    body = "Copyright (c) 2020 Somebody\n\n" + licenses.BODIES["MIT"].replace("charge, to any", "charge,\nto any")
+    files = [("a/long.txt", prose * 20 + mit + " " + prose * 400), ("b/LICENSE", body), ("b/c/x.py", "x = 1"), ("b/copy.txt", body),
+             ("d/COPYING", licenses.BODIES["BSD-3-Clause"].upper()), ("d/y", ""), ("e/none.txt", prose * 30 + "this license is new " + prose * 30)]
+    out = licenses.scan(spark.createDataFrame(files, "path string, text string")).collect()
+    assert sorted((tuple(r) for r in out), key=str) == scanned(files)
+    found = {r.path: (r.license, r.origin) for r in out}
+    assert found["a/long.txt"] == ("MIT", "own") and found["b/LICENSE"] == ("MIT", "own")
+    assert found["b/c/x.py"] == ("MIT", "inherited") and found["d/y"] == ("BSD-3-Clause", "inherited")
+    assert found["e/none.txt"] == (None, None)
+
+
 def test_op8_with_odd_ids(spark, tmp_path):
     """Null and negative ids, and languages that end in digits, through the query itself."""
     mit = "Licensed under the MIT License."
