@@ -10,7 +10,9 @@ from checks.registry import check, r6, table
 from irspark.operators import graph
 from irspark.sources import graph as GS
 
-ROUNDS = 5
+# Rounds of PageRank and of HITS as the original programs make them.
+ROUNDS = 50
+HITS_ROUNDS = 7
 
 
 def trade_edges(spark: SparkSession, d: str) -> DataFrame:
@@ -136,10 +138,10 @@ def edge_list(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@check(f"WITH {hits_sql(TRADE_SQL, 7)} SELECT id, round(log10(1 + hub), 6) AS hub, round(log10(1 + authority), 6) AS authority FROM h7")
+@check(f"WITH {hits_sql(TRADE_SQL, HITS_ROUNDS)} SELECT id, round(log10(1 + hub), 6) AS hub, round(log10(1 + authority), 6) AS authority FROM h{HITS_ROUNDS}")
 def hits(spark: SparkSession, d: str) -> DataFrame:
     """Scores grow without bound, so their logarithms are compared."""
-    scores = graph.hits(trade_edges(spark, d), iterations=7)
+    scores = graph.hits(trade_edges(spark, d), iterations=HITS_ROUNDS)
     return scores.select(
         "id",
         r6(F.log10(1 + F.col("hub"))).alias("hub"),
@@ -148,12 +150,12 @@ def hits(spark: SparkSession, d: str) -> DataFrame:
 
 
 @check(f"""
-WITH {hits_sql(PAGE_EDGES_SQL, 5)},
-l AS (SELECT sqrt(sum(hub * hub)) AS h, sqrt(sum(authority * authority)) AS a FROM h5)
-SELECT id AS url, round(hub / l.h, 6) AS hub, round(authority / l.a, 6) AS authority FROM h5, l
+WITH {hits_sql(PAGE_EDGES_SQL, HITS_ROUNDS)},
+l AS (SELECT sqrt(sum(hub * hub)) AS h, sqrt(sum(authority * authority)) AS a FROM h{HITS_ROUNDS})
+SELECT id AS url, round(hub / l.h, 6) AS hub, round(authority / l.a, 6) AS authority FROM h{HITS_ROUNDS}, l
 """)
 def hits_normalized(spark: SparkSession, d: str) -> DataFrame:
-    scores = graph.hits(page_edges(spark, d), iterations=5, normalize=True)
+    scores = graph.hits(page_edges(spark, d), iterations=HITS_ROUNDS, normalize=True)
     return scores.select(
         F.col("id").alias("url"), r6("hub").alias("hub"), r6("authority").alias("authority")
     )
@@ -205,9 +207,9 @@ def top_n_rank(spark: SparkSession, d: str) -> DataFrame:
 
 
 @check(f"""
-WITH {hits_sql(NUMBERED_EDGES_SQL, 3)}
-SELECT i.url, h.authority AS score FROM h3 h JOIN ids i USING (id) ORDER BY h.authority DESC, h.id LIMIT 20
+WITH {hits_sql(NUMBERED_EDGES_SQL, HITS_ROUNDS)}
+SELECT i.url, h.authority AS score FROM h{HITS_ROUNDS} h JOIN ids i USING (id) ORDER BY h.authority DESC, h.id LIMIT 20
 """)
 def top_n_authority(spark: SparkSession, d: str) -> DataFrame:
     dictionary, edges = _numbered(spark, d)
-    return graph.top_n(graph.hits(edges, iterations=3), dictionary, 20, "authority")
+    return graph.top_n(graph.hits(edges, iterations=HITS_ROUNDS), dictionary, 20, "authority")

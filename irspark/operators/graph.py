@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from irspark.functions.urls import host, normalize_url
 from irspark.operators.html import page_links
 from irspark.plans.limits import BROADCAST_ROWS, ROWS_PER_TASK, limit
-from irspark.plans.lineage import materialize
+from irspark.plans.lineage import Written, materialize, written
 from irspark.plans.ordering import row_index, top_rows
 from irspark.plans.skew import hot_keys, lookup_join, skew_join
 
@@ -102,7 +102,7 @@ def _buckets(merged: DataFrame) -> int:
     return min(most, max(spark.sparkContext.defaultParallelism, wanted))
 
 
-def _placed_by(merged: DataFrame, key: str, buckets: int) -> tuple[DataFrame, DataFrame]:
+def _placed_by(merged: DataFrame, key: str, buckets: int) -> tuple[Written, Written]:
     """Edges stored once by `key`, hot keys cut into parts, and per key its parts and degree.
 
     The stored edges never move again; in every round only vertex values travel to them, once
@@ -113,11 +113,11 @@ def _placed_by(merged: DataFrame, key: str, buckets: int) -> tuple[DataFrame, Da
     stats = merged.groupBy(key).agg(
         F.sum("times").alias("degree"), F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts")
     )
-    stats = materialize(stats)
-    hot = F.broadcast(stats.filter(F.col("parts") > 1).select(key, "parts"))
+    stats = written(stats)
+    hot = F.broadcast(stats.rows.filter(F.col("parts") > 1).select(key, "parts"))
     part = F.pmod(F.xxhash64(other), F.coalesce(F.col("parts"), F.lit(1)).cast("bigint")).cast("int")
     placed = merged.join(hot, key, "left").select("src", "dst", "times", part.alias("part"))
-    return materialize(placed, [key, "part"], buckets), stats
+    return written(placed, [key, "part"], buckets), stats
 
 
 def _messages(values: DataFrame, key: str, value: Column, parts: str) -> DataFrame:
@@ -129,16 +129,19 @@ def _messages(values: DataFrame, key: str, value: Column, parts: str) -> DataFra
     )
 
 
-def _gather(placed: DataFrame, messages: DataFrame, key: str, name: str) -> DataFrame:
-    """Sum of the received values per vertex at the other end."""
+def _sent(placed: DataFrame, messages: DataFrame, key: str) -> DataFrame:
+    """What every edge brings to the vertex at its other end."""
     other = "dst" if key == "src" else "src"
-    return (
-        placed.join(messages, [key, "part"])
-        .groupBy(F.col(other).alias("id"))
-        .agg(F.sum(F.col("times") * F.col("sent")).alias(name))
+    return placed.join(messages, [key, "part"]).select(
+        F.col(other).alias("id"), (F.col("times") * F.col("sent")).alias("got")
     )
 
 
+def _gather(placed: DataFrame, messages: DataFrame, key: str, name: str) -> DataFrame:
+    """Sum of the received values per vertex at the other end."""
+    return _sent(placed, messages, key).groupBy("id").agg(F.sum("got").alias(name))
+
+
 def _vertices(merged: DataFrame, extra: DataFrame | None) -> DataFrame:
     ids = merged.select(F.col("src").alias("id")).unionByName(merged.select(F.col("dst").alias("id")))
     if extra is not None:
@@ -158,27 +161,40 @@ def pagerank(
     Pages without links share their rank among all pages, so ranks add up to 1. Equal edges count
     as often as they occur. `vertices` may name pages that have no edge at all.
     """
-    merged = materialize(_merged_edges(graph_edges))
-    buckets = _buckets(merged)
-    placed, stats = _placed_by(merged, "src", buckets)
-    base = materialize(
-        _vertices(merged, vertices).join(stats.withColumnRenamed("src", "id"), "id", "left"),
+    merged = written(_merged_edges(graph_edges))
+    buckets = _buckets(merged.rows)
+    placed, stats = _placed_by(merged.rows, "src", buckets)
+    base = written(
+        _vertices(merged.rows, vertices).join(stats.rows.withColumnRenamed("src", "id"), "id", "left"),
         ["id"],
         buckets,
     )
-    n = base.count()
-    ranks = base.withColumn("rank", F.lit(1.0 / max(n, 1)))
+    merged.release()
+    stats.release()
+    n = max(base.rows.count(), 1)
+    ranks, last = base.rows.withColumn("rank", F.lit(1.0 / n)), None
     for i in range(iterations):
         lost = ranks.filter(F.col("parts").isNull()).agg(F.coalesce(F.sum("rank"), F.lit(0.0)))
         sent = _messages(ranks, "src", F.col("rank") / F.col("degree"), "parts")
-        received = _gather(placed, sent, "src", "received")
+        received = _gather(placed.rows, sent, "src", "received")
         rank = alpha * (F.coalesce("received", F.lit(0.0)) + lost.scalar() / n) + (1 - alpha) / n
-        ranks = base.join(received, "id", "left").select("id", "degree", "parts", rank.alias("rank"))
+        ranks = base.rows.join(received, "id", "left").select("id", "degree", "parts", rank.alias("rank"))
         if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
-            ranks = materialize(ranks)
+            ranks, last = _next_round(ranks, last)
+    placed.release()
+    if last is not None:
+        base.release()
     return ranks.select("id", "rank")
 
 
+def _next_round(values: DataFrame, last: Written | None) -> tuple[DataFrame, Written]:
+    """Write the values of a round; the table of the round before is no longer read by anything."""
+    now = written(values)
+    if last is not None:
+        last.release()
+    return now.rows, now
+
+
 def hits(
     graph_edges: DataFrame,
     iterations: int = 7,
@@ -191,22 +207,31 @@ def hits(
     Both start at 1 and are computed from the previous round. Without `normalize` they grow from
     round to round; with it both vectors are scaled to unit length in every round.
     """
-    merged = materialize(_merged_edges(graph_edges))
-    buckets = _buckets(merged)
-    by_src, out_stats = _placed_by(merged, "src", buckets)
-    by_dst, in_stats = _placed_by(merged, "dst", buckets)
-    out_parts = out_stats.select(F.col("src").alias("id"), F.col("parts").alias("out_parts"))
-    in_parts = in_stats.select(F.col("dst").alias("id"), F.col("parts").alias("in_parts"))
-    base = materialize(
-        _vertices(merged, vertices).join(out_parts, "id", "left").join(in_parts, "id", "left"),
+    merged = written(_merged_edges(graph_edges))
+    buckets = _buckets(merged.rows)
+    by_src, out_stats = _placed_by(merged.rows, "src", buckets)
+    by_dst, in_stats = _placed_by(merged.rows, "dst", buckets)
+    out_parts = out_stats.rows.select(F.col("src").alias("id"), F.col("parts").alias("out_parts"))
+    in_parts = in_stats.rows.select(F.col("dst").alias("id"), F.col("parts").alias("in_parts"))
+    base = written(
+        _vertices(merged.rows, vertices).join(out_parts, "id", "left").join(in_parts, "id", "left"),
         ["id"],
         buckets,
     )
-    scores = base.withColumns({"hub": F.lit(1.0), "authority": F.lit(1.0)})
+    for table in (merged, out_stats, in_stats):
+        table.release()
+    scores, last = base.rows.withColumns({"hub": F.lit(1.0), "authority": F.lit(1.0)}), None
     for i in range(iterations):
-        authority = _gather(by_src, _messages(scores, "src", F.col("hub"), "out_parts"), "src", "a")
-        hub = _gather(by_dst, _messages(scores, "dst", F.col("authority"), "in_parts"), "dst", "h")
-        scores = base.join(hub, "id", "left").join(authority, "id", "left").select(
+        # Both directions meet in one grouping by vertex.
+        to_authority = _sent(by_src.rows, _messages(scores, "src", F.col("hub"), "out_parts"), "src")
+        to_hub = _sent(by_dst.rows, _messages(scores, "dst", F.col("authority"), "in_parts"), "dst")
+        got = (
+            to_hub.select("id", F.col("got").alias("h"), F.lit(None).cast("double").alias("a"))
+            .unionByName(to_authority.select("id", F.lit(None).cast("double").alias("h"), F.col("got").alias("a")))
+            .groupBy("id")
+            .agg(F.sum("h").alias("h"), F.sum("a").alias("a"))
+        )
+        scores = base.rows.join(got, "id", "left").select(
             "id",
             "out_parts",
             "in_parts",
@@ -214,12 +239,23 @@ def hits(
             F.coalesce("a", F.lit(0.0)).alias("authority"),
         )
         if normalize:
-            scores = materialize(scores)
-            for c in ("hub", "authority"):
-                length = scores.agg(F.sqrt(F.sum(F.col(c) * F.col(c)))).scalar()
-                scores = scores.withColumn(c, F.coalesce(F.try_divide(F.col(c), length), F.lit(0.0)))
-        if (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
-            scores = materialize(scores)
+            raw = written(scores)
+            lengths = raw.rows.agg(
+                *[F.sqrt(F.sum(F.col(c) * F.col(c))).alias(c) for c in ("hub", "authority")]
+            ).first()
+            scaled = {
+                c: F.coalesce(F.try_divide(F.col(c), F.lit(lengths[c])), F.lit(0.0)) for c in ("hub", "authority")
+            }
+            scores = raw.rows.withColumns(scaled)
+            if last is not None:
+                last.release()
+            last = raw
+        elif (i + 1) % checkpoint_every == 0 or i + 1 == iterations:
+            scores, last = _next_round(scores, last)
+    by_src.release()
+    by_dst.release()
+    if last is not None:
+        base.release()
     return scores.select("id", "hub", "authority")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,12 +30,34 @@ def materialize(
     such as partition numbers, is frozen. With `bucket_by` the table is stored in hash buckets,
     so joins and groupings on those columns leave its rows where they are.
     """
+    return written(df, bucket_by, buckets).rows
+
+
+@dataclass(frozen=True)
+class Written:
+    """A table written by `written`, and where it lies."""
+
+    rows: DataFrame
+    path: str
+    name: str | None
+
+    def release(self) -> None:
+        """Drop the table and its files; whatever still reads it must have been written before."""
+        spark = self.rows.sparkSession
+        if self.name:
+            spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written(df: DataFrame, bucket_by: Sequence[str] | None = None, buckets: int | None = None) -> Written:
+    """`materialize` for loops, which release the tables of earlier rounds."""
     spark = df.sparkSession
     name = f"irspark_{uuid.uuid4().hex}"
     path = f"{checkpoint_dir(spark)}/{name}"
     if not bucket_by:
         df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        return Written(spark.read.schema(df.schema).parquet(path), path, None)
     placed = df.repartition(buckets, *bucket_by)
     placed.write.bucketBy(buckets, *bucket_by).option("path", path).format("parquet").saveAsTable(name)
-    return spark.table(name)
+    return Written(spark.table(name), path, name)

@@ -119,3 +119,21 @@ def test_edge_list_and_dictionary(spark, tmp_path):
     assert {(r.id, r.url) for r in GS.read_dictionary(spark, str(tmp_path / "dict")).collect()} == {(0, "u"), (1, "v")}
     (tmp_path / "urls.txt").write_text("7\thttps://h.x/a/\n")
     assert GS.read_page_urls(spark, str(tmp_path / "urls.txt")).first().url == "http://h.x/a"
+
+
+def test_rounds_leave_one_table(spark):
+    """Tables of earlier rounds are dropped; the scores read the last one."""
+    from pathlib import Path
+
+    from irspark.plans.lineage import checkpoint_dir
+
+    e = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (1, 3), (4, 4)], "src long, dst long")
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    for run in (lambda: graph.pagerank(e, iterations=6), lambda: graph.hits(e, 6), lambda: graph.hits(e, 6, normalize=True)):
+        before = {p.name for p in folder.iterdir()} | {t.name for t in spark.catalog.listTables()}
+        out = run()
+        after = {p.name for p in folder.iterdir()} | {t.name for t in spark.catalog.listTables()}
+        assert len(after - before) == 1
+        assert out.count() == 4
+    assert graph.pagerank(e.limit(0), iterations=2).count() == 0
+    assert graph.hits(e, 0).count() == 4 and graph.pagerank(e, iterations=0).count() == 4
