@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from irspark.plans.ordering import rank_within
+from irspark.plans.lineage import materialize
+from irspark.plans.ordering import prefix_sum, rank_within
 
 # Workers get the functions of this module with the task and need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -54,8 +55,67 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_candidates(spark: SparkSession, path: str) -> DataFrame:
-    """JSON object query -> document ids, as rows query_id, pos, doc_id."""
-    return candidates_from_json(spark.read.text(path, wholetext=True), "value")
+    """JSON object query -> document ids, as rows query_id, pos, doc_id.
+
+    A file holds one object or several. It is read in pieces that end with a bracket, by as many
+    tasks as it has splits, and each piece holds one list with its query. A bracket inside a query
+    cuts that query in two; such pieces are those between two with an odd number of quotes, and
+    are put together again. A list must fit a row, the object need not. Null lists, and entries
+    that are no lists of integers, give no rows; an empty file or object gives none.
+    """
+    pieces = spark.read.option("lineSep", "]").text(path).select(
+        "value",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_mid"),
+    )
+    return candidates_from_pieces(materialize(pieces))
+
+
+def candidates_from_pieces(pieces: DataFrame) -> DataFrame:
+    """query_id, pos, doc_id of the pieces (value, _file, _start, _mid) of JSON text cut at each `]`."""
+    plain = F.regexp_replace("value", r"(?s)\\.", "")
+    odd = (F.regexp_count(plain, F.lit('"')) % 2).alias("_odd")
+    places = pieces.select("_file", "_start", "_mid", odd)
+    if places.filter("_odd = 1").isEmpty():
+        return _entries(pieces.select("value"))
+    # An odd running number of quotes: the piece ends inside a query.
+    running = prefix_sum(places, ["_file"], [F.col("_start"), F.col("_mid")], {"_quotes": F.col("_odd")})
+    inside = F.col("_quotes") % 2 == 1
+    cut = running.filter(inside | (F.col("_odd") == 1)).select(
+        "_mid", F.floor((F.col("_quotes") - F.when(inside, 1).otherwise(2)) / 2).alias("_entry")
+    )
+    placed = pieces.join(cut, "_mid", "left")
+    whole = placed.filter("_entry is null").select("value")
+    # One group is one query of the object, with its list.
+    in_order = F.sort_array(F.collect_list(F.struct("_start", "_mid", "value")))
+    joined = (
+        placed.filter("_entry is not null")
+        .groupBy("_file", "_entry")
+        .agg(F.array_join(F.transform(in_order, lambda x: x["value"]), "]").alias("value"))
+        .select("value")
+    )
+    return _entries(whole.unionByName(joined))
+
+
+def _entries(pieces: DataFrame) -> DataFrame:
+    """Rows of pieces `, "query": [1, 2` without their closing bracket."""
+    opened = F.regexp_replace("value", r"^[\s{},\uFEFF]+", "")
+    return candidates_from_json(
+        pieces.select(opened.alias("value"))
+        # What follows the last list of an object holds no list.
+        .filter((F.col("value") != "") & ~F.col("value").rlike(r"\}\s*$"))
+        .select(F.concat(F.lit("{"), "value", F.lit("]}")).alias("value")),
+        "value",
+    )
+
+
+def write_candidates(candidates: DataFrame, path: str) -> None:
+    """Rows query_id, pos, doc_id as JSON objects of one query and its list each, one a line."""
+    docs = F.transform(F.sort_array(F.collect_list(F.struct("pos", "doc_id"))), lambda x: x["doc_id"])
+    candidates.groupBy("query_id").agg(docs.alias("docs")).select(
+        F.to_json(F.create_map("query_id", "docs")).alias("value")
+    ).write.mode("overwrite").text(path)
 
 
 def candidates_from_json(df: DataFrame, column: str) -> DataFrame:

@@ -81,3 +81,36 @@ def test_candidates_keep_sample_order(spark):
     sample = spark.createDataFrame([("1", 9, 0), ("2", 4, 1), ("1", 3, 2)], "query_id string, doc_id long, n int")
     got = {(r.query_id, r.pos, r.doc_id) for r in S.candidates(sample, [F.col("n").asc()]).collect()}
     assert got == {("1", 0, 9), ("2", 0, 4), ("1", 1, 3)}
+
+
+def test_one_large_object_is_read_in_parts(spark, tmp_path):
+    """Brackets, quotes, commas and backslashes in queries, over many splits, against the json module."""
+    import json
+    import random
+
+    rng = random.Random(5)
+    odd = ["a]b", "]", "]]x]", 'say "no] yes', "back\\", "back\\]", '\\"]', "{}", "}, ", "", "дом]", "[1, 2]", "\n]\t", "\U0001F600]"]
+    wanted = {f"{rng.choice(odd)} {i} {rng.choice(odd)}": [rng.randrange(10**6) for _ in range(rng.randrange(6))] for i in range(3000)}
+    wanted.update({q: [1, 2] for q in odd})
+    wanted["none"] = None
+    wanted["last"] = []
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "1.json").write_text(json.dumps(wanted, ensure_ascii=False, indent=1), encoding="utf-8")
+    (tmp_path / "c" / "2.json").write_text(json.dumps({"second]": [7, 7]}) + "\n" + json.dumps({"third": [8]}) + "\n")
+    (tmp_path / "c" / "3.json").write_text("{}")
+    (tmp_path / "c" / "4.json").write_text("")
+    expected = sorted((q, i, x) for q, docs in wanted.items() for i, x in enumerate(docs or []))
+    expected = sorted(expected + [("second]", 0, 7), ("second]", 1, 7), ("third", 0, 8)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        out = S.read_candidates(spark, str(tmp_path / "c")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.query_id, r.pos, r.doc_id) for r in out) == expected
+
+
+def test_written_candidates_come_back(spark, tmp_path):
+    rows = [("q]1", 0, 5), ("q]1", 1, 3), ("2", 0, 5), ("2", 1, 5)]
+    given = spark.createDataFrame(rows, "query_id string, pos int, doc_id bigint")
+    S.write_candidates(given, str(tmp_path / "out"))
+    assert sorted((r.query_id, r.pos, r.doc_id) for r in S.read_candidates(spark, str(tmp_path / "out")).collect()) == sorted(rows)
