@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.registry import check, r6, table, wide_table
 from irspark.functions import text as T
 from irspark.operators import fields, ranking, tfidf
-from irspark.plans.lineage import materialize
+from irspark.plans.lineage import checkpoint_dir, materialize
 from irspark.plans.spread import spread
 from irspark.sources import relevance as S
 
@@ -353,3 +355,15 @@ def candidates_from_json(spark: SparkSession, d: str) -> DataFrame:
         F.to_json(F.create_map("query_id", F.array("doc_id"))).alias("value")
     )
     return S.candidates_from_json(lines, "value").select("query_id", "doc_id")
+
+
+@check("""
+SELECT CAST(doc_id % (SELECT count(*) FROM benchmark) AS VARCHAR) AS query_id, doc_id,
+       row_number() OVER (PARTITION BY doc_id % (SELECT count(*) FROM benchmark) ORDER BY doc_id) - 1 AS pos
+FROM documents
+""")
+def candidates_file(spark: SparkSession, d: str) -> DataFrame:
+    """Lists of candidates written as JSON and read back with their places."""
+    path = f"{checkpoint_dir(spark)}/candidates_{uuid.uuid4().hex}"
+    S.write_candidates(candidates_by_query(spark, d), path)
+    return S.read_candidates(spark, path)

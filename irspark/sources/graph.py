@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from irspark.functions.urls import normalize_url
 from irspark.plans.limits import ROWS_PER_TASK, limit
+from irspark.plans.ordering import prefix_sum
 
 # Links written on one line; a page with more goes on in further lines of the same url.
 LINKS_PER_LINE = 100_000
@@ -60,20 +61,57 @@ def write_adjacency(graph: DataFrame, path: str) -> None:
     format_adjacency(graph).write.mode("overwrite").text(path)
 
 
+def edge_rows(edges: DataFrame) -> DataFrame:
+    """Equal edges (url, link) as one row with their number: url, link, times.
+
+    A null link (0 times) marks a page without links. This is the form for pages of any size: it
+    holds no list.
+    """
+    return edges.groupBy("url", "link").agg(F.count("link").alias("times"))
+
+
+def write_edge_rows(rows: DataFrame, path: str) -> None:
+    """Lines `url <tab> link <tab> times`; an empty link with 0 times marks a page without links."""
+    link = F.coalesce("link", F.lit(""))
+    rows.select(F.concat_ws("\t", "url", link, F.col("times").cast("string")).alias("value")).write.mode(
+        "overwrite"
+    ).text(path)
+
+
+def read_edge_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Inverse of write_edge_rows; lines without three fields or a number are left out."""
+    parts = _fields(F.col("value"))
+    times = F.get(parts, F.lit(2)).try_cast("bigint")
+    return (
+        spark.read.text(path)
+        .filter((F.size(parts) == 3) & times.isNotNull())
+        .select(
+            F.get(parts, F.lit(0)).alias("url"),
+            F.when(times > 0, F.get(parts, F.lit(1))).alias("link"),
+            times.alias("times"),
+        )
+    )
+
+
 def adjacency_lists(edges: DataFrame, links_per_line: int = LINKS_PER_LINE) -> DataFrame:
     """Edge rows (url, link) back to lists of bounded length: url, value, links.
 
-    A null link marks a page without links. Pages above the bound get several rows, so no row
-    grows with a hot url.
+    A null link marks a page without links. Running numbers of a page's links, in their order,
+    place each in a line; a page with more links than fit goes on in further lines, and so do the
+    copies of one link. Equal edges are counted before anything is moved, and the running numbers
+    of a large page are made by many tasks.
     """
-    rows = min(links_per_line, limit(edges.sparkSession, ROWS_PER_TASK))
-    sizes = edges.groupBy("url").agg(F.count("link").alias("_n"))
-    long = F.broadcast(sizes.filter(F.col("_n") > rows).select("url", F.ceil(F.col("_n") / rows).alias("_parts")))
-    part = F.pmod(F.xxhash64("link"), F.coalesce(F.col("_parts"), F.lit(1)).cast("bigint"))
+    size = min(links_per_line, limit(edges.sparkSession, ROWS_PER_TASK))
+    placed = prefix_sum(edge_rows(edges), ["url"], [F.col("link").asc_nulls_first()], {"_end": F.col("times")})
+    start, end = F.col("_end") - F.col("times"), F.col("_end")
+    first, last = F.floor(start / size), F.floor(F.greatest(end - 1, F.lit(0)) / size)
+    copies = F.least(end, (F.col("_line") + 1) * size) - F.greatest(start, F.col("_line") * size)
+    # A page's mark without links belongs to its first line and adds nothing there.
+    lines = placed.select("url", "link", "times", "_end", F.explode(F.sequence(F.least(first, last), last)).alias("_line"))
+    listed = F.flatten(F.collect_list(F.array_repeat("link", F.when(F.col("times") > 0, copies).otherwise(0).cast("int"))))
     return (
-        edges.join(long, "url", "left")
-        .groupBy("url", part.alias("_part"))
-        .agg(F.sort_array(F.collect_list("link")).alias("links"))
+        lines.groupBy("url", "_line")
+        .agg(F.sort_array(listed).alias("links"))
         .select("url", F.lit(None).cast("double").alias("value"), "links")
     )
 

@@ -137,3 +137,26 @@ def test_rounds_leave_one_table(spark):
         assert out.count() == 4
     assert graph.pagerank(e.limit(0), iterations=2).count() == 0
     assert graph.hits(e, 0).count() == 4 and graph.pagerank(e, iterations=0).count() == 4
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_lines_of_one_link_and_of_none(spark, tmp_path, request, split):
+    """Copies of one link fill several lines; the edge rows come back as they were."""
+    if split:
+        request.getfixturevalue("tiny_limits")
+    rows = [("hot", "x")] * 2500 + [("hot", "y"), ("hot", "a"), ("none", None), ("both", None), ("both", "z"), ("one", "z")]
+    e = spark.createDataFrame(rows, "url string, link string")
+    out = GS.adjacency_lists(e, 1000).collect()
+    assert max(len(r.links) for r in out) <= 1000
+    found = {}
+    for r in out:
+        found.setdefault(r.url, []).extend(r.links)
+    assert {u: sorted(x) for u, x in found.items()} == {
+        "hot": sorted(["x"] * 2500 + ["y", "a"]), "none": [], "both": ["z"], "one": ["z"]}
+    if not split:
+        assert sorted(len(r.links) for r in out if r.url == "hot") == [502, 1000, 1000]
+    counted = GS.edge_rows(e)
+    GS.write_edge_rows(counted, str(tmp_path / "rows"))
+    back = GS.read_edge_rows(spark, str(tmp_path / "rows")).collect()
+    assert sorted(map(tuple, back), key=str) == sorted(map(tuple, counted.collect()), key=str)
+    assert GS.adjacency_lists(e.limit(0)).count() == 0
