@@ -7,6 +7,8 @@ parity of the customer.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,7 +77,7 @@ ses AS (
     max(CASE WHEN pos = 1 THEN click END) AS first_click, max(CASE WHEN click = 1 THEN pos END) AS last_pos
   FROM item GROUP BY 1
 ),
-mat AS (
+mat AS MATERIALIZED (
   SELECT split, row_number() OVER (PARTITION BY split ORDER BY session_id) - 1 AS row_idx, any_click, first_click
   FROM ses
 )"""
@@ -176,34 +178,64 @@ def t_test(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-ITERATIONS = 20
+# 1,000 resamples of 50,000 sessions, observed in blocks of 1,000.
+ITERATIONS, SAMPLE, GROUP = 1_000, 50_000, 1_000
+PRIME = 2_147_483_647
 
 
-@check(f"""
+def mixed_sql(name: str, number: str) -> str:
+    """Columns of the steps that scramble a number; the last one is `name`."""
+    one, two = f"{name}_1", f"{name}_2"
+    return (
+        f"({number}) % {PRIME} AS {name}_0, "
+        f"(xor({name}_0, {name}_0 >> 15) * 48271 + 11) % {PRIME} AS {one}, "
+        f"(xor({one}, {one} >> 13) * 1103515245 + 17) % {PRIME} AS {two}, "
+        f"(xor({two}, {two} >> 16) * 668265261 + 23) % {PRIME} AS {name}"
+    )
+
+
+def bootstrap_sql(column: str, seed: str) -> str:
+    def start(word: str) -> str:
+        a, b = (zlib.crc32(f"{seed}|{split}|{word}".encode()) % PRIME for split in "ab")
+        return f"i + CASE WHEN split = 'a' THEN {a} ELSE {b} END"
+
+    return f"""
 WITH {SESSION_SQL},
 size AS (SELECT split, count(*) AS n FROM mat GROUP BY 1),
-draw AS (
-  SELECT i.i AS iteration, z.split, t.t // {BLOCK} AS block, CAST('0x' || substr(md5(
-    '3|' || z.split || '|' || i.i || '|' || t.t), 1, 12) AS BIGINT) % z.n AS row_idx
-  FROM range({ITERATIONS}) i(i), range((SELECT min(n) FROM size) // {BLOCK} * {BLOCK}) t(t), size z
+iter AS (
+  SELECT i, split, n, {mixed_sql('upper', start('upper'))}, {mixed_sql('lower', start('lower'))}
+  FROM range({ITERATIONS}) i(i), size
 ),
-s AS (
-  SELECT iteration, split, block, avg(any_click) AS value FROM draw JOIN mat USING (split, row_idx) GROUP BY 1, 2, 3
+nth AS (SELECT t, {mixed_sql('e', 't')} FROM range({SAMPLE}) t(t)),
+draw AS (
+  SELECT i AS iteration, split, t // {GROUP} AS block, {mixed_sql('x', 'xor(e, upper)')}, {mixed_sql('y', 'xor(e, lower)')},
+    (x * n + y * n // {PRIME}) // {PRIME} AS row_idx
+  FROM iter, nth
 ),
+s AS (SELECT iteration, split, block, avg({column}) AS value FROM draw JOIN mat USING (split, row_idx) GROUP BY 1, 2, 3),
 q AS ({moments_sql('iteration,')} GROUP BY iteration),
 r AS (SELECT CASE WHEN abs({T_SQL}) > {critical_sql('m + n - 2')} THEN 1 ELSE 0 END AS r FROM q)
 SELECT count(*) AS iterations, CAST(sum(r) AS BIGINT) AS rejected, round(avg(r), 6) AS share FROM r
-""")
-def bootstrap(spark: SparkSession, d: str) -> DataFrame:
-    """Each resample is as large as the smaller split, cut to whole blocks."""
-    rows = matrix(spark, d)
-    smaller = rows.groupBy("split").count().agg(F.min("count")).first()[0]
-    share = abtest.bootstrap(
-        rows, "a", "b", abtest.have_clicks, ITERATIONS, smaller // BLOCK * BLOCK, BLOCK, seed="3"
-    )
+"""
+
+
+def _bootstrap(spark: SparkSession, d: str, metric: abtest.Metric, seed: str) -> DataFrame:
+    share = abtest.bootstrap(matrix(spark, d), "a", "b", metric, ITERATIONS, SAMPLE, GROUP, seed=seed)
     return share.withColumn("share", r6("share"))
 
 
+@check(bootstrap_sql("any_click", "3"))
+def bootstrap(spark: SparkSession, d: str) -> DataFrame:
+    """Resampled tests of the share of sessions with a click."""
+    return _bootstrap(spark, d, abtest.have_clicks, "3")
+
+
+@check(bootstrap_sql("first_click", "4"))
+def bootstrap_first(spark: SparkSession, d: str) -> DataFrame:
+    """Resampled tests of clicks on the first position."""
+    return _bootstrap(spark, d, abtest.first_click, "4")
+
+
 DBN_SQL = f"""
 {SESSION_SQL},
 seen AS (SELECT i.query, i.url, i.click, i.pos = s.last_pos AS is_last FROM item i JOIN ses s USING (session_id)

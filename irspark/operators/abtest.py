@@ -6,15 +6,23 @@ Column over such a row; its mean over a block of consecutive sessions is one obs
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import sys
+import zlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from irspark.plans.limits import BROADCAST_ROWS, limit
+from irspark.plans.limits import DRAW_ROWS, limit
 from irspark.plans.lineage import materialize
 from irspark.plans.ordering import top_within
 
+# Workers get the functions of this module with the task and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Metric = Callable[[], Column]
 
 
@@ -103,10 +111,30 @@ def t_test(series: DataFrame, first: str, second: str, alpha: float = 0.05) -> D
     )
 
 
-def draw_index(seed: str, split: Column, iteration: Column, draw: Column, n: Column) -> Column:
-    """Repeatable index in [0, n) of one draw with replacement."""
-    key = F.concat_ws("|", F.lit(seed), split, iteration.cast("string"), draw.cast("string"))
-    return F.pmod(F.conv(F.substring(F.md5(key), 1, 12), 16, 10).cast("bigint"), n)
+# Draws come from three steps of multiplication modulo a prime, each after folding the upper bits in.
+_PRIME = 2_147_483_647
+_STEPS = ((15, 48_271, 11), (13, 1_103_515_245, 17), (16, 668_265_261, 23))
+
+
+def _mixed(numbers: np.ndarray) -> np.ndarray:
+    """Scrambled whole numbers below 2^31 - 1."""
+    y = numbers % _PRIME
+    for shift, factor, plus in _STEPS:
+        y = ((y ^ (y >> shift)) * factor + plus) % _PRIME
+    return y
+
+
+def _seeds(seed: str, split: str) -> list[int]:
+    return [zlib.crc32(f"{seed}|{split}|{word}".encode()) % _PRIME for word in ("upper", "lower")]
+
+
+def draw_index(seed: str, split: str, iteration: int, scrambled: np.ndarray, n: int) -> np.ndarray:
+    """Repeatable indices in [0, n) of one resample, from the scrambled numbers of its draws.
+
+    Two scrambled words make a fraction of 62 bits, so indices are uniform for n below 2^32.
+    """
+    upper, lower = (_mixed(scrambled ^ _mixed(np.int64(iteration + s))) for s in _seeds(seed, split))
+    return (upper * n + lower * n // _PRIME) // _PRIME
 
 
 def bootstrap(
@@ -122,36 +150,19 @@ def bootstrap(
 ) -> DataFrame:
     """Share of resampled t-tests that reject: iterations, rejected, share.
 
-    All draws of all iterations form one table; each draw picks a session by its index, block
-    means come out of one grouped sum, and every iteration is one row before it is tested.
+    Metric values are packed into ranges of consecutive sessions. A range meets parts of the
+    iterations, makes their draws where it lies and keeps those that fall into it, so no draw is
+    ever moved: only sums per block are. A split without sessions gives no draws, and nothing is
+    rejected; sessions whose metric is null or NaN count in no mean.
     """
     spark = sessions.sparkSession
     values = materialize(
         sessions.filter(F.col("split").isin(first, second)).select(
-            "split", "row_idx", metric().cast("double").alias("m")
+            "split", F.col("row_idx").cast("bigint").alias("row_idx"), metric().cast("double").alias("m")
         )
     )
-    sizes = {r.split: r.n for r in values.groupBy("split").agg(F.count("*").alias("n")).collect()}
-    n = F.when(F.col("split") == first, F.lit(sizes[first])).otherwise(F.lit(sizes[second]))
-    number = F.col("id")
-    draws = (
-        spark.range(count_iteration * size_sample)
-        .select(
-            F.floor(number / size_sample).cast("bigint").alias("iteration"),
-            (number % size_sample).alias("draw"),
-            F.explode(F.array(F.lit(first), F.lit(second))).alias("split"),
-        )
-        .select(
-            "iteration",
-            "split",
-            F.floor(F.col("draw") / size_group).cast("int").alias("block"),
-            draw_index(seed, F.col("split"), F.col("iteration"), F.col("draw"), n).alias("row_idx"),
-        )
-    )
-    # Draws are uniform, so no session is hot.
-    small = sum(sizes.values()) <= limit(spark, BROADCAST_ROWS)
-    picked = draws.join(F.broadcast(values) if small else values, ["split", "row_idx"])
-    series = picked.groupBy("iteration", "split", "block").agg(F.avg("m").alias("value"))
+    sizes = {r.split: r.n for r in values.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    series = resampled_means(values, sizes, count_iteration, size_sample, size_group, seed)
     blocks = -(-size_sample // size_group)
     critical = t_quantile(spark, 1 - alpha / 2, 2 * blocks - 2) if blocks > 1 else None
     tests = _moments(series, first, second, ["iteration"]).select(_rejects(critical).alias("r"))
@@ -160,3 +171,47 @@ def bootstrap(
         F.sum("r").alias("rejected"),
         F.avg("r").alias("share"),
     )
+
+
+def resampled_means(
+    values: DataFrame, sizes: dict[str, int], iterations: int, sample: int, group: int, seed: str
+) -> DataFrame:
+    """Block means of all resamples of the rows split, row_idx, m: iteration, split, block, value."""
+    spark = values.sparkSession
+    length = limit(spark, DRAW_ROWS)
+    in_order = F.sort_array(F.collect_list(F.struct("row_idx", "m")))
+    packed = values.groupBy("split", F.expr(f"row_idx div {length}").alias("part")).agg(
+        F.transform(in_order, lambda x: x["m"]).alias("values")
+    )
+    ranges = max(1, sum(-(-n // length) for n in sizes.values()))
+    # Few ranges are repeated for parts of the iterations, so that all cores have work.
+    chunks = max(1, min(iterations, -(-4 * spark.sparkContext.defaultParallelism // ranges)))
+    placed = packed.withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    ).repartition(ranges * chunks, "split", "part", "chunk")
+    starts = np.arange(0, sample, group)
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scrambled, block = _mixed(np.arange(sample)), np.arange(sample) // group
+        for batch in batches:
+            for row in range(batch.num_rows):
+                split, part, chunk = (batch.column(c)[row].as_py() for c in ("split", "part", "chunk"))
+                held = batch.column("values")[row].values.to_numpy(zero_copy_only=False)
+                known = ~np.isnan(held)
+                held = np.where(known, held, 0.0)
+                for iteration in range(chunk, iterations, chunks):
+                    at = draw_index(seed, split, iteration, scrambled, sizes[split]) - part * length
+                    here = np.flatnonzero((at >= 0) & (at < len(held)))
+                    sums = np.bincount(block[here], held[at[here]], len(starts))
+                    counts = np.bincount(block[here], known[at[here]], len(starts)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(starts), iteration)), pa.array([split] * len(starts)),
+                         pa.array(np.arange(len(starts))), pa.array(sums), pa.array(counts)],
+                        names=["iteration", "split", "block", "total", "n"])
+
+    drawn = placed.select("split", "part", "values", "chunk").mapInArrow(
+        draw, "iteration bigint, split string, block bigint, total double, n bigint"
+    )
+    return drawn.groupBy("iteration", "split", "block").agg(
+        F.try_divide(F.sum("total"), F.sum("n")).alias("value")
+    )

@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from irspark.operators import abtest, clicks
 from irspark.sources import sessions as S
@@ -65,12 +64,58 @@ def test_bootstrap_tells_splits_apart(spark):
     assert differ.share == 1.0
 
 
-def test_draws_are_uniform_and_repeatable(spark):
-    d = spark.range(20000).select(
-        abtest.draw_index("s", F.lit("a"), F.lit(1), F.col("id"), F.lit(10).cast("long")).alias("i")
-    )
-    counts = [r["count"] for r in d.groupBy("i").count().collect()]
-    assert len(counts) == 10 and min(counts) > 1800
+def test_draws_are_uniform_and_repeatable():
+    def drawn(seed, n):
+        return abtest.draw_index(seed, "a", 1, abtest._mixed(np.arange(20000)), n)
+
+    few = np.bincount(drawn("s", 10), minlength=10)
+    assert len(few) == 10 and few.min() > 1800
+    many = drawn("s", 3_000_000_000)
+    assert np.array_equal(many, drawn("s", 3_000_000_000)) and not np.array_equal(many, drawn("t", 3_000_000_000))
+    assert np.bincount(many // 300_000_000, minlength=10).min() > 1800
+    # Neither low digits nor neighbours depend on each other.
+    assert np.bincount(many % 7, minlength=7).min() > 2600
+    assert abs(np.corrcoef(many[:-1], many[1:])[0, 1]) < 0.03
+
+
+def scrambled(number):
+    y = number % 2147483647
+    for shift, factor, plus in ((15, 48271, 11), (13, 1103515245, 17), (16, 668265261, 23)):
+        y = ((y ^ (y >> shift)) * factor + plus) % 2147483647
+    return y
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_resamples_against_brute_force(spark, request, hot):
+    if hot:
+        request.getfixturevalue("tiny_limits")
+    rng = np.random.default_rng(5)
+    cells = {"a": rng.random(1700).tolist(), "b": rng.random(900).tolist()}
+    cells["a"][3] = None
+    rows = [(s, i, m) for s, ms in cells.items() for i, m in enumerate(ms)]
+    values = spark.createDataFrame(rows, "split string, row_idx bigint, m double")
+    sizes = {s: len(m) for s, m in cells.items()}
+    got = abtest.resampled_means(values, sizes, 7, 1050, 100, "k")
+    assert "Cartesian" not in got._jdf.queryExecution().executedPlan().toString()
+    got = {(r.iteration, r.split, r.block): r.value for r in got.collect()}
+    want = {}
+    for split, ms in cells.items():
+        upper, lower = abtest._seeds("k", split)
+        for i in range(7):
+            for t in range(1050):
+                e, n = scrambled(t), len(ms)
+                x, y = scrambled(e ^ scrambled(i + upper)), scrambled(e ^ scrambled(i + lower))
+                want.setdefault((i, split, t // 100), []).append(ms[(x * n + y * n // 2147483647) // 2147483647])
+    assert set(got) == set(want)
+    for key, drawn in want.items():
+        assert got[key] == pytest.approx(np.mean([m for m in drawn if m is not None]))
+
+
+def test_bootstrap_without_sessions(spark):
+    one = matrix(spark, 0.3, 0.3, 50).filter("split = 'a'")
+    row = abtest.bootstrap(one, "a", "b", count_iteration=3, size_sample=40, size_group=10).first()
+    assert (row.iterations, row.rejected) == (3, 0)
+    assert abtest.bootstrap(one.limit(0), "a", "b", count_iteration=3, size_sample=40, size_group=10).first().iterations == 0
 
 
 def test_head(spark):

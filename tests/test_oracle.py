@@ -16,8 +16,8 @@ def con():
     return connect(DIR)
 
 
-# Work that no built-in function can do: inflating, resizing, models, matrix products.
-PYTHON = {"decode_pages", "packed_pages", "image_features", "similar_vectors", "similar_by_layer"}
+# Work that no built-in function can do: inflating, resizing, models, matrix products, draws from packed arrays.
+PYTHON = {"bootstrap", "bootstrap_first", "decode_pages", "packed_pages", "image_features", "similar_vectors", "similar_by_layer"}
 PYTHON_NODE = re.compile("EvalPython|InPandas|InArrow|FlatMapGroups")
 
 
