@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from irspark.plans.lineage import materialize
+from irspark.plans.limits import PAIR_BLOCK, limit
 from irspark.plans.ordering import prefix_sum, rank_within, rows_per_task, top_within
 from irspark.plans.pairs import pairwise_sum
 from irspark.plans.skew import hot_keys, lookup_join, skew_join
@@ -193,8 +194,12 @@ def lambda_gradient(
     """Pairwise gradient per document: adds lambda.
 
     Documents of a query with equal label and score have the same gradient, so the sum runs over
-    distinct (label, score) cells with their sizes. `k_delta` weights each pair with its change
-    of NDCG at that depth; off by default. `largest` bounds the rows of a query, when known.
+    distinct (label, score) cells with their sizes. Where sigma times the difference of two scores
+    is beyond _FAR, the push of the pair is sigma or 0 in doubles: such pairs are counted, by
+    running sums per bit of the label's level, and only cells nearer than that meet. Scores that
+    all lie within that distance leave work quadratic in the cells of a query. `k_delta` weights
+    each pair with its change of NDCG at that depth; off by default. `largest` bounds the rows of
+    a query, when known. Scores are finite.
     """
     if k_delta is not None:
         return _weighted_gradient(data, score, sigma, k_delta)
@@ -207,15 +212,82 @@ def lambda_gradient(
         push = sigma / (1 + F.exp(sigma * (i["h"] - j["h"]) * sign))
         return j["n"] * sign * push
 
-    sums = pairwise_sum(
-        cells, ["query_id"], ["label", "h", "n"], term, "lambda", largest
-    ).select("query_id", "label", F.col("h").alias("_h"), "lambda")
+    values = ["label", "h", "n"]
+    if largest is not None and largest <= limit(data.sparkSession, PAIR_BLOCK):
+        # Every query is one block of pairs.
+        sums = pairwise_sum(cells, ["query_id"], values, term, "lambda", largest)
+    else:
+        sums = _near_and_far(materialize(cells), sigma, values, term, largest)
+    sums = sums.select("query_id", "label", F.col("h").alias("_h"), "lambda")
     rows, on = data.withColumn("_h", F.col(score)), ["query_id", "label", "_h"]
     if largest is not None and largest <= rows_per_task(data):
         return rows.join(sums, on).drop("_h")
     return skew_join(rows, sums, on, salt_on=["doc_id"]).drop("_h")
 
 
+# exp(-50) is 2e-22: a push beyond it can't be told from 0, nor its complement from 1.
+_FAR = 50.0
+
+
+def _near_and_far(
+    cells: DataFrame, sigma: float, values: list[str], term: Callable, largest: int | None
+) -> DataFrame:
+    """Gradient per cell query_id, label, h, n: pairs of near bands of scores summed, others counted."""
+    band = F.floor(F.col("h") * sigma / _FAR).cast("bigint")
+    ends = cells.agg(F.min(band).alias("low"), F.max(band).alias("high")).first()
+    if ends.low is None or ends.high - ends.low <= 1:
+        return pairwise_sum(cells, ["query_id"], values, term, "lambda", largest)
+    banded = cells.withColumn("band", band)
+    # A cell meets its own band and the two beside it; in those it only stands as a partner.
+    places = F.explode(F.array(*[F.struct((F.col("band") + s).alias("band"), F.lit(s == 0).alias("own")) for s in (-1, 0, 1)]))
+    met = banded.withColumn("_p", places).select("query_id", F.col("_p.band").alias("band"), *values, F.col("_p.own").alias("own"))
+    near = pairwise_sum(
+        materialize(met), ["query_id", "band"], [*values, "own"], term, "near", largest, lambda i: i["own"]
+    ).select("query_id", *values, "near")
+    far = _far_pushes(banded, sigma)
+    joined = near.select("query_id", "label", "h", F.col("near").alias("lambda")).unionByName(far)
+    return joined.groupBy("query_id", "label", "h").agg(F.sum("lambda").alias("lambda"))
+
+
+def _far_pushes(cells: DataFrame, sigma: float) -> DataFrame:
+    """Pushes of all pairs at least two bands apart: query_id, label, h, lambda.
+
+    A cell is pushed up by each far row with a smaller label and a higher score, and down by each
+    with a greater label and a lower score. Two levels differ first at exactly one bit, so per bit
+    and prefix one running sum in the order of bands counts the rows of the other side.
+    """
+    levels = materialize(label_levels(cells))
+    bits = int(levels.agg(F.max("level")).first()[0] or 0).bit_length()
+    if not bits:
+        return cells.select("query_id", "label", "h", F.lit(0.0).alias("lambda"))
+    leveled = skew_join(cells, levels, ["query_id", "label"], salt_on=["h"])
+    bit = F.explode(F.sequence(F.lit(0), F.lit(bits - 1)))
+    # One row per band and level; side 0 reads bands upwards, side 1 downwards.
+    small = leveled.groupBy("query_id", "label", "level", "band").agg(F.sum("n").alias("n"))
+    split = (
+        small.select("*", bit.alias("bit"))
+        .withColumn("one", F.expr("shiftright(level, bit) & 1"))
+        .withColumn("prefix", F.expr("shiftright(level, bit + 1)"))
+        .withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
+        .withColumn("pos", F.when(F.col("side") == 0, F.col("band")).otherwise(-F.col("band")))
+        # Upwards a zero asks for ones below it, downwards a one asks for zeros above it.
+        .withColumn("asks", F.col("one") == F.col("side"))
+    )
+    by = ["query_id", "side", "bit", "prefix"]
+    moved = F.when(F.col("asks"), F.col("pos")).otherwise(F.col("pos") + 2)
+    marks = split.groupBy(*by, moved.alias("pos")).agg(
+        F.sum(F.when(~F.col("asks"), F.col("n")).otherwise(0)).alias("add")
+    )
+    run = materialize(prefix_sum(materialize(marks), by, [F.col("pos")], {"rows": F.col("add")}))
+    asked = split.filter("asks").select("label", "band", *by, "pos")
+    found = skew_join(asked, run.select(*by, "pos", "rows"), [*by, "pos"], salt_on=["label"])
+    signed = F.when(F.col("side") == 0, -F.col("rows")).otherwise(F.col("rows"))
+    pushes = materialize(found.groupBy("query_id", "label", "band").agg(F.sum(signed).alias("rows")))
+    return skew_join(cells, pushes, ["query_id", "label", "band"], salt_on=["h"]).select(
+        "query_id", "label", "h", (F.col("rows") * sigma).alias("lambda")
+    )
+
+
 def _weighted_gradient(data: DataFrame, score: str, sigma: float, k: int) -> DataFrame:
     """Gradient with pairs weighted by the change of NDCG; only pairs touching the best k count."""
     deltas = materialize(delta_ndcg(data, k, "exponential", score))

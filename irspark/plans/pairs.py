@@ -23,11 +23,13 @@ def pairwise_sum(
     term: Callable[[Column, Column], Column],
     name: str,
     largest: int | None = None,
+    only: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """For every cell i: the sum of term(i, j) over all cells j of its group.
 
     `cells` has the group columns and the `values`; `term` gets two structs of the values.
-    `largest` is a bound for the cells of a group, when one is known. Returns by, values, `name`.
+    `largest` is a bound for the cells of a group, when one is known; `only` picks the cells that
+    get a sum, by default all. Returns by, values, `name`.
     """
     by, values = list(by), list(values)
     rows = limit(cells.sparkSession, PAIR_BLOCK)
@@ -39,7 +41,7 @@ def pairwise_sum(
     else:
         pairs = _block_pairs(cells, by, values, listed, rows)
     summed = F.transform(
-        "_mine",
+        F.filter("_mine", only) if only else F.col("_mine"),
         lambda i: F.struct(
             i.alias("cell"),
             F.aggregate("_cells", F.lit(0.0), lambda acc, j: acc + term(i, j)).alias("part"),

@@ -76,6 +76,36 @@ def test_gradient(spark, k):
             assert got[i] == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("levels,sigma,scale,block", [(4, 0.7, 900, 7), (40, 2.0, 300, 7), (2, 1.0, 5000, 1000), (1, 1.0, 5000, 7)])
+def test_gradient_of_far_scores(spark, levels, sigma, scale, block):
+    df = frame(spark, n=260, levels=levels, queries=2, tie=40).withColumn("score", (F.col("score") - 3) * scale)
+    spark.conf.set("spark.irspark.pairBlock", str(block))
+    try:
+        rows = ltr.lambda_gradient(df, sigma=sigma).collect()
+    finally:
+        spark.conf.unset("spark.irspark.pairBlock")
+    assert len(rows) == 260
+    got = {r.doc_id: r["lambda"] for r in rows}
+    for _, g in groups(df):
+        y, h = g.label.to_numpy(), g.score.to_numpy()
+        sign = np.sign(y[:, None] - y[None, :])
+        with np.errstate(over="ignore"):
+            push = sign * sigma / (1 + np.exp(sigma * (h[:, None] - h[None, :]) * sign))
+        for i, want in zip(g.doc_id, push.sum(axis=1)):
+            assert got[i] == pytest.approx(want, rel=1e-12, abs=1e-12)
+
+
+def test_gradient_of_far_scores_in_a_hot_query(spark, tiny_limits):
+    df = frame(spark, n=200, levels=6, queries=1, tie=60).withColumn("score", F.col("score") * 700)
+    got = {r.doc_id: r["lambda"] for r in ltr.lambda_gradient(df).collect()}
+    (_, g), = groups(df)
+    y, h = g.label.to_numpy(), g.score.to_numpy()
+    sign = np.sign(y[:, None] - y[None, :])
+    with np.errstate(over="ignore"):
+        push = sign / (1 + np.exp((h[:, None] - h[None, :]) * sign))
+    assert [got[i] for i in g.doc_id] == pytest.approx(push.sum(axis=1).tolist(), rel=1e-12, abs=1e-12)
+
+
 def test_ndcg_bounds_and_null(spark):
     df = frame(spark).unionByName(frame(spark).withColumn("label", F.lit(0.0)).withColumn("query_id", F.lit(99).cast("long")))
     got = {r.query_id: r.ndcg for r in ltr.ndcg(df, 5).collect()}
