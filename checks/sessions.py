@@ -7,6 +7,7 @@ parity of the customer.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check, r6, table
 from irspark.operators import abtest, clicks
+from irspark.plans.lineage import checkpoint_dir
 from irspark.plans.ordering import rank_within
 from irspark.sources import sessions as S
 
@@ -261,3 +263,19 @@ def dbn_rel(spark: SparkSession, d: str) -> DataFrame:
 def dbn_top(spark: SparkSession, d: str) -> DataFrame:
     best = clicks.top_for_query(clicks.dbn(sessions(spark, d)), "1-URGENT")
     return best.select("url", r6("rel").alias("rel"))
+
+
+@check(f"""
+WITH {SESSION_SQL},
+line_of AS (SELECT session_id, string_agg(CAST(click AS VARCHAR), ',' ORDER BY pos) AS clicks FROM item GROUP BY 1)
+SELECT split, row_number() OVER (ORDER BY session_id) - 1 AS row_idx, clicks
+FROM ses JOIN line_of USING (session_id) WHERE split = 'a'
+""")
+def click_matrix_file(spark: SparkSession, d: str) -> DataFrame:
+    """Clicks of one split written as a matrix of text, and read back in the order of its lines."""
+    path = f"{checkpoint_dir(spark)}/clicks-{uuid.uuid4().hex}"
+    cells = F.array_join(F.transform("clicks", lambda c: F.format_string("%d.0", c)), "  ")
+    lines = matrix(spark, d).filter("split = 'a'").orderBy("row_idx").select(cells)
+    lines.write.text(path)
+    read = S.read_click_matrix(spark, path, "a")
+    return read.withColumn("clicks", F.array_join(F.transform("clicks", lambda c: c.cast("string")), ","))

@@ -13,6 +13,7 @@ from irspark.operators import fields, ranking, tfidf
 from irspark.plans.lineage import checkpoint_dir, materialize
 from irspark.plans.spread import spread
 from irspark.sources import relevance as S
+from irspark.sources import store
 
 STOP = ["the", "of", "and", "de", "la", "que", "der", "die", "el", "et"]
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
@@ -367,3 +368,41 @@ def candidates_file(spark: SparkSession, d: str) -> DataFrame:
     path = f"{checkpoint_dir(spark)}/candidates_{uuid.uuid4().hex}"
     S.write_candidates(candidates_by_query(spark, d), path)
     return S.read_candidates(spark, path)
+
+
+@check(f"""
+WITH {CANDIDATES_SQL}, {TFIDF_SQL}, {SCORES_SQL}
+SELECT query_id, doc_id, round(score, 6) AS score FROM scored
+""")
+def stored_scores(spark: SparkSession, d: str) -> DataFrame:
+    """Vocabulary and weights fitted, written as a version, and read again to score the candidates."""
+    docs, folder = documents(spark, d), f"{checkpoint_dir(spark)}/model-{uuid.uuid4().hex}"
+    rows = materialize(tfidf.sparse_rows(docs))
+    idf = tfidf.fit_idf(rows)
+    store.save(spark, folder, {"vocabulary": idf, "weights": tfidf.transform(rows, idf)})
+    weights = store.load(spark, folder).tables["weights"]
+    scored = tfidf.score(queries(spark, d), candidates(spark, d), weights, docs)
+    return scored.select("query_id", "doc_id", r6("score").alias("score"))
+
+
+@check(r"""
+SELECT CAST(item_id AS VARCHAR) AS query_id, regexp_replace(text, '[\t\n\r]+', ' ', 'g') AS query FROM benchmark
+""")
+def queries_file(spark: SparkSession, d: str) -> DataFrame:
+    """Queries written as lines of id and text, and read back."""
+    path = f"{checkpoint_dir(spark)}/queries-{uuid.uuid4().hex}"
+    flat = F.regexp_replace("text", r"[\t\n\r]+", " ")
+    table(spark, d, "benchmark").select(F.concat_ws("\t", F.col("item_id").cast("string"), flat)).write.text(path)
+    return S.read_queries(spark, path)
+
+
+@check("""
+SELECT page_id AS doc_id, url, 'pages/' || page_id || '.html' AS path FROM pages WHERE url IS NOT NULL AND url <> ''
+""")
+def urls_file(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue of urls written as lines, and read back."""
+    path = f"{checkpoint_dir(spark)}/urls-{uuid.uuid4().hex}"
+    file = F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html"))
+    pages = table(spark, d, "pages").filter("url <> ''")
+    pages.select(F.concat_ws("\t", F.col("page_id").cast("string"), "url", file)).write.text(path)
+    return S.read_urls(spark, path)

@@ -321,20 +321,26 @@ class LambdaRankModel:
         values = F.array(*[tree_value(tree, features) for tree in self.trees])
         return F.aggregate(values, F.lit(0.0), lambda sum_, x: sum_ + x * self.learning_rate)
 
-    def save(self, spark: SparkSession, path: str) -> None:
+    def table(self, spark: SparkSession) -> DataFrame:
+        """One row per tree: tree_no, learning_rate, tree."""
         rows = [(i, self.learning_rate, json.dumps(t)) for i, t in enumerate(self.trees)]
-        spark.createDataFrame(rows, "tree_no int, learning_rate double, tree string").write.mode(
-            "overwrite"
-        ).parquet(path)
+        return spark.createDataFrame(rows, "tree_no int, learning_rate double, tree string")
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> LambdaRankModel:
+    def from_table(table: DataFrame) -> LambdaRankModel:
         # One row per boosting round.
-        rows = spark.read.parquet(path).orderBy("tree_no").collect()
+        rows = table.orderBy("tree_no").collect()
         return LambdaRankModel(
             rows[0].learning_rate if rows else 0.0, [json.loads(r.tree) for r in rows]
         )
 
+    def save(self, spark: SparkSession, path: str) -> None:
+        self.table(spark).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> LambdaRankModel:
+        return LambdaRankModel.from_table(spark.read.parquet(path))
+
 
 def tree_nodes(node) -> dict:
     """Nodes of a fitted Spark tree."""

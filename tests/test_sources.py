@@ -1,10 +1,13 @@
 import base64
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from irspark.operators import html
+from irspark.operators.ltr import LambdaRankModel
 from irspark.sources import relevance as S
+from irspark.sources import store
 
 
 def test_tables(spark, tmp_path):
@@ -114,3 +117,35 @@ def test_written_candidates_come_back(spark, tmp_path):
     given = spark.createDataFrame(rows, "query_id string, pos int, doc_id bigint")
     S.write_candidates(given, str(tmp_path / "out"))
     assert sorted((r.query_id, r.pos, r.doc_id) for r in S.read_candidates(spark, str(tmp_path / "out")).collect()) == sorted(rows)
+
+
+def test_store_takes_the_newest_complete_version(spark, tmp_path):
+    folder = str(tmp_path / "models")
+    assert store.versions(spark, folder) == []
+    with pytest.raises(FileNotFoundError):
+        store.load(spark, folder)
+    model = LambdaRankModel(0.5, [{"value": 2.0}, {"feature": 0, "threshold": 1.5, "left": {"value": 1.0}, "right": {"value": -3.0}}])
+    nothing = spark.createDataFrame([], "term string, idf double")
+    first = store.save(spark, folder, {"trees": model.table(spark), "vocabulary": nothing}, {"note": "é"})
+    known = spark.createDataFrame([("a", 1.0), (None, None)], "term string, idf double")
+    second = store.save(spark, folder, {"vocabulary": known})
+    # A third version was cut off before its manifest.
+    known.write.parquet(f"{folder}/v00000003-{'0' * 32}/vocabulary")
+    (tmp_path / "models" / "other").mkdir()
+
+    newest = store.load(spark, folder)
+    assert newest.path == second and newest.about == {"rows": {"vocabulary": 2}}
+    assert sorted(newest.tables["vocabulary"].collect(), key=str) == sorted(known.collect(), key=str)
+    older = store.load(spark, folder, first.rsplit("/", 1)[1])
+    assert older.about["note"] == "é" and older.tables["vocabulary"].count() == 0
+    read = LambdaRankModel.from_table(older.tables["trees"])
+    assert read == model
+    rows = spark.createDataFrame([([1.0],), ([2.0],)], "features array<double>")
+    assert [r.s for r in rows.select(read.predict(rows.features).alias("s")).collect()] == [1.5, -0.5]
+
+    fourth = store.save(spark, folder, {"vocabulary": known})
+    assert "/v00000004-" in fourth
+    assert store.prune(spark, folder, 1) == [first.rsplit("/", 1)[1], second.rsplit("/", 1)[1]]
+    assert store.load(spark, folder).path == fourth and len(store.versions(spark, folder, complete=False)) == 2
+    with pytest.raises(ValueError):
+        store.save(spark, folder, {"../x": known})
