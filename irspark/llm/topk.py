@@ -2,13 +2,12 @@
 
 Vectors are cut into blocks, and a block holds one sorted list per component. For a query, every
 list gives its contributions in falling order, from its upper or its lower end by the sign of the
-query's component. Lists are read to the same depth, which doubles in each round. Of each vector
-the parts that were read are known; a part that was not is at most the last one read from its
-list (upper bound) and at least the smallest one (lower bound). Reading stops when few vectors,
-and none that is unseen, can have an upper bound that reaches the k-th best lower bound; the few
-are then resolved with their whole vectors. Scores of the leaders are resolved in each round, as
-the exact score is the best lower bound. The bounds of all queries of a block are summed at once:
-what a list has shown beyond its last reading, times the queries' components.
+query's component. Lists are read to the same depth, which doubles in each round. An entry that
+was read counts in full; one that was not is at most the last one read from its list (upper bound)
+and at least the smallest one of that list (lower bound). Bounds change only where an entry has
+been read, for all queries of the block at once. Reading stops when few vectors, and none that is
+unseen, have an upper bound that reaches the k-th best lower bound; only then are the few resolved
+with their whole vectors. `Lists.depths` holds how far the lists were read for each query.
 """
 
 from __future__ import annotations
@@ -26,9 +25,9 @@ from irspark.plans.ordering import top_within
 # Vectors and queries in one block; a task holds one of each at a time.
 _VECTORS, _QUERIES = 4_096, 512
 # Reading starts with this part of a list; up to this part of a block is resolved at once.
-_FIRST, _RESOLVED = 4, 16
-# Sums below this bound are exact in doubles.
-_EXACT = 2.0**52
+_FIRST, _RESOLVED = 16, 16
+# Sums of differences are exact in doubles when those of products are below this bound.
+_EXACT = 2.0**50
 
 
 def scaled(vector: Column, scale: int = 256) -> Column:
@@ -49,7 +48,10 @@ class Lists:
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
         self.exact = self.vectors.astype(np.float64)
-        self.sorted = np.sort(self.exact, axis=0)
+        # Per component the rows by falling value, and the values.
+        self.order = np.argsort(-self.exact, axis=0, kind="stable").T.copy()
+        self.falling = np.take_along_axis(self.exact.T, self.order, axis=1)
+        self.depths: list[int] = []
         self.largest = float(np.abs(self.exact).max(initial=0))
 
     def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -73,31 +75,36 @@ class Lists:
         """Per query and vector: whether the upper bound reaches the k-th best lower bound."""
         n = len(self.ids)
         reaches, waiting = np.zeros_like(may), np.arange(len(queries))
-        lower = np.full(len(queries), -np.inf)
-        depth = max(1, n // _FIRST)
+        depths = np.zeros(len(queries), np.int64)
+        # Each list from its upper end for positive components, from its lower end for negative ones.
+        ends = [(self.order, self.falling, np.maximum(queries, 0)),
+                (self.order[:, ::-1], self.falling[:, ::-1], np.minimum(queries, 0))]
+        # What entries that were read are above the last one read, and above the smallest one.
+        above_last, above_least = np.zeros((n, len(queries))), np.zeros((n, len(queries)))
+        read, depth = 0, max(1, n // _FIRST)
         while True:
-            first, last = self.sorted[n - depth], self.sorted[depth - 1]
-            # What has been read from the upper and the lower ends, beyond the last ones read.
-            upper_parts = np.maximum(self.exact - first, 0)
-            lower_parts = np.minimum(self.exact - last, 0)
-            q, own = queries[waiting], ~may[waiting]
-            plus, minus = np.maximum(q, 0), np.minimum(q, 0)
-            upper = plus @ upper_parts.T
-            upper += minus @ lower_parts.T
-            upper += (plus @ first + minus @ last)[:, None]
-            upper[own] = -np.inf
-            # One leader more than k, as the query's own vector may be among them.
-            leaders = np.argpartition(upper, n - k - 1, axis=1)[:, n - k - 1 :]
-            scores = np.einsum("qld,qd->ql", self.exact[leaders], q)
-            scores[np.take_along_axis(own, leaders, axis=1)] = -np.inf
-            lower[waiting] = np.maximum(lower[waiting], np.sort(scores, axis=1)[:, 1])
-            found = (upper >= lower[waiting, None]) & ~own
+            for order, values, parts in ends:
+                for c in np.flatnonzero(parts.any(axis=0)):
+                    rows, x, q = order[c, :depth], values[c, :depth], parts[:, c]
+                    above_least[rows[read:]] += np.outer(x[read:] - values[c, -1], q)
+                    # The last one read has moved on for the entries before it.
+                    step = x - x[-1]
+                    step[:read] = x[read - 1] - x[-1] if read else 0
+                    above_last[rows] += np.outer(step, q)
+            last = sum(parts @ values[:, depth - 1] for _, values, parts in ends)
+            least = sum(parts @ values[:, -1] for _, values, parts in ends)
+            upper, lower = above_last.T + last[:, None], above_least.T + least[:, None]
+            lower[~may[waiting]] = -np.inf
+            kth = np.partition(lower, n - k, axis=1)[:, n - k]
+            found = (upper >= kth[:, None]) & may[waiting]
             done = (found.sum(axis=1) <= max(4 * k, n // _RESOLVED)) | (depth == n)
-            reaches[waiting[done]] = found[done]
-            waiting = waiting[~done]
-            if not len(waiting):
+            reaches[waiting[done]], depths[waiting[done]] = found[done], depth
+            if done.all():
+                self.depths += depths.tolist()
                 return reaches
-            depth = min(n, 2 * depth)
+            waiting, above_last, above_least = waiting[~done], above_last[:, ~done], above_least[:, ~done]
+            ends = [(order, values, parts[~done]) for order, values, parts in ends]
+            read, depth = depth, min(n, 2 * depth)
 
 
 def _unpack(rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:

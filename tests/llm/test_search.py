@@ -38,11 +38,40 @@ def test_lists_equal_brute_force(n, dim, high):
 
 def test_reading_stops_early():
     r = np.random.default_rng(1)
-    centres = r.normal(size=(10, 32))
-    vectors = np.floor(256 * (centres[r.integers(0, 10, 4000)] + 0.1 * r.normal(size=(4000, 32)))).astype(np.int64)
+    # Few components decide, as where a query names few of many features.
+    vectors = np.floor(256 * r.exponential(size=(4000, 32)) ** 3).astype(np.int64)
+    queries = np.zeros((20, 32), np.int64)
+    queries[np.arange(20), r.integers(0, 32, 20)] = 9
+    queries[np.arange(20), r.integers(0, 32, 20)] -= 4
     lists = topk.Lists(np.arange(4000), vectors)
-    may = np.arange(4000)[None, :] != np.arange(20)[:, None]
-    assert np.median(lists._reaching(vectors[:20].astype(float), 5, may).sum(axis=1)) < 2000
+    for i, got in enumerate(lists.best(np.arange(20), queries, 5)):
+        assert list(zip(got[0].tolist(), got[1].tolist())) == brute(np.arange(4000), vectors, i, queries[i], 5)
+    assert len(lists.depths) == 20 and np.mean(lists.depths) <= 2000
+
+
+def test_unread_entries_are_not_looked_at():
+    """What lies below the depth that is reported has no part in the candidates."""
+    r = np.random.default_rng(3)
+    vectors = r.integers(-100, 100, (640, 3))
+    vectors[:8] = 1000 + r.integers(0, 9, (8, 3))
+    lists = topk.Lists(np.arange(640), vectors)
+    may = np.ones((1, 640), bool)
+    found = lists._reaching(np.array([[1.0, 2.0, 1.0]]), 5, may)
+    (depth,) = lists.depths
+    assert depth < 640 and 5 <= found.sum() <= 40
+    lists.falling[:, depth:-1], lists.order[:, depth:-1] = 1e6, 0
+    assert np.array_equal(lists._reaching(np.array([[1.0, 2.0, 1.0]]), 5, may), found)
+
+
+def test_depth_on_the_given_table(spark):
+    rows = spark.read.parquet(f"{DIR}/embeddings.parquet".replace("0.001", "0.01")).toPandas()
+    vectors = np.floor(256 * np.stack(rows.embedding.to_numpy()).astype(float)).astype(np.int64)
+    lists = topk.Lists(rows.vec_id.to_numpy(), vectors)
+    asking = rows.vec_id.to_numpy() % 50 == 0
+    lists.best(rows.vec_id.to_numpy()[asking], vectors[asking], 5)
+    # 64 components of like weight: bounds without random access part at the end of the lists.
+    print("entries read of all:", np.mean(lists.depths) / len(vectors))
+    assert len(lists.depths) == asking.sum()
 
 
 def test_odd_rows(spark, monkeypatch):
