@@ -106,6 +106,23 @@ def test_gradient_of_far_scores_in_a_hot_query(spark, tiny_limits):
     assert [got[i] for i in g.doc_id] == pytest.approx(push.sum(axis=1).tolist(), rel=1e-12, abs=1e-12)
 
 
+@pytest.mark.parametrize("levels,scale", [(3, 0.1), (70, 4.0), (900, 30.0)])
+def test_gradient_of_crowded_scores_lists_no_pairs(spark, monkeypatch, levels, scale):
+    rng = np.random.default_rng(5)
+    y, h = rng.integers(levels, size=3000).astype(float), rng.normal(0, scale, 3000).round(3)
+    df = spark.createDataFrame([(1, i, float(a), float(b)) for i, (a, b) in enumerate(zip(y, h))],
+                               "query_id long, doc_id long, label double, score double")
+    met = []
+    summed = ltr.pairwise_sum
+    monkeypatch.setattr(ltr, "pairwise_sum", lambda cells, by, *a: (
+        met.append(cells.groupBy(*by).count().selectExpr("sum(count * count)").first()[0] or 0), summed(cells, by, *a))[1])
+    got = {r.doc_id: r["lambda"] for r in ltr.lambda_gradient(df, sigma=1.3).collect()}
+    sign = np.sign(y[:, None] - y[None, :])
+    push = sign * 1.3 / (1 + np.exp(1.3 * (h[:, None] - h[None, :]) * sign))
+    assert [got[i] for i in range(3000)] == pytest.approx(push.sum(axis=1).tolist(), abs=1e-10)
+    assert levels > 3 or sum(met) < len(set(zip(y, h))) ** 2 / 10
+
+
 def test_ndcg_bounds_and_null(spark):
     df = frame(spark).unionByName(frame(spark).withColumn("label", F.lit(0.0)).withColumn("query_id", F.lit(99).cast("long")))
     got = {r.query_id: r.ndcg for r in ltr.ndcg(df, 5).collect()}
