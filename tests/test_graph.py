@@ -48,6 +48,29 @@ def test_pagerank_hub_is_cut_into_parts(spark, tiny_limits):
     assert got == {k: pytest.approx(v, abs=1e-12) for k, v in want.items()}
 
 
+def test_rounds_move_packed_blocks(spark, tiny_limits, monkeypatch):
+    """A round sends one row per block of vertices; edges with a null end and sinks count as before."""
+    pairs = [(f"v{i % 37}", f"v{i * i % 50}") for i in range(400)] + [("v1", None), ("v2", None), (None, "v3")]
+    moved = []
+    products = graph.products
+    monkeypatch.setattr(graph, "products", lambda cells, matrix, vectors, *a: (
+        moved.append((vectors.count(), cells.count(), len(matrix.places))), products(cells, matrix, vectors, *a))[1])
+    got = {r.id: r["rank"] for r in graph.pagerank(edges(spark, pairs), iterations=4).collect()}
+    known = {x for p in pairs for x in p}
+    n, rank = len(known), dict.fromkeys(known, 1 / len(known))
+    out = {i: [d for s, d in pairs if s == i] for i in known - {None}}
+    for _ in range(4):
+        lost = sum(rank[i] for i in known if not out.get(i))
+        new = dict.fromkeys(known, 0.0)
+        for i, to in out.items():
+            for dst in to:
+                new[dst] += rank[i] / len(to)
+        new[None] = 0.0
+        rank = {i: 0.85 * (new[i] + lost / n) + 0.15 / n for i in known}
+    assert got == {k: pytest.approx(v, abs=1e-12) for k, v in rank.items()}
+    assert len(moved) == 4 and all(v <= 4 and c < 150 and cells == 16 for v, c, cells in moved)
+
+
 @pytest.mark.parametrize("normalize", [False, True])
 def test_hits(spark, normalize):
     ids = "abcde"
