@@ -130,10 +130,17 @@ def transform(
 
 
 def lookup(requests: DataFrame, weights: DataFrame, pages: DataFrame) -> DataFrame:
-    """Weight of (doc_id, term) requests: null for an unknown page, 0 for an unknown term."""
+    """Weight of (doc_id, term) requests: null for an unknown page, 0 for an unknown term.
+
+    Requests are written once; if their terms are few, weights of other terms never move.
+    """
+    requests = materialize(requests)
     asked = requests.withColumn("_term", F.lower(F.trim("term")))
+    terms = materialize(asked.select("_term").distinct())
     present = pages.select("doc_id", F.lit(0.0).alias("_zero"))
     known = weights.select("doc_id", F.col("term").alias("_term"), "weight")
+    if fits_broadcast(terms):
+        known = known.join(F.broadcast(terms), "_term", "left_semi")
     heavy = hot_keys(requests, ["doc_id"])
     marked = skew_join(asked, present, ["doc_id"], "left", heavy=heavy)
     return (

@@ -136,3 +136,13 @@ def test_corpus_in_another_order(spark):
             want.add(r.doc_id)
         total += len(r.text or "")
     assert kept == want and fields.corpus_sample(df.limit(0), 10, order).count() == 0
+
+
+def test_lookup_moves_weights_of_asked_terms_only(spark, monkeypatch):
+    weights = spark.createDataFrame([(d, f"t{t}", d + t / 10) for d in range(20) for t in range(9)], "doc_id long, term string, weight double")
+    asked = spark.createDataFrame([(1, " T2"), (1, "no"), (99, "t2"), (2, None)], "doc_id long, term string")
+    moved, join = [], tfidf.skew_join
+    monkeypatch.setattr(tfidf, "skew_join", lambda left, right, *a, **k: (moved.append(right.count()), join(left, right, *a, **k))[1])
+    got = {(r.doc_id, r.term): r.weight for r in tfidf.lookup(asked, weights, spark.range(20).withColumnRenamed("id", "doc_id")).collect()}
+    assert got == {(1, " T2"): 1.2, (1, "no"): 0.0, (99, "t2"): None, (2, None): 0.0}
+    assert moved == [20, 20]
