@@ -251,10 +251,12 @@ def _fitted(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return parsed, tfidf.fit_idf(training)
 
 
-def _scores(spark: SparkSession, d: str, parsed: DataFrame, texts: DataFrame, idf: DataFrame) -> DataFrame:
+def _scores(
+    spark: SparkSession, d: str, parsed: DataFrame, texts: DataFrame, idf: DataFrame, names: tuple[str, ...] = FOUR
+) -> DataFrame:
     weights = tfidf.transform(texts, idf, ("doc_id", "field"))
     cand = candidates(spark, d, "pages", "page_id")
-    return tfidf.score(queries(spark, d), cand, weights, parsed, FOUR)
+    return tfidf.score(queries(spark, d), cand, weights, parsed, names)
 
 
 def field_scores(spark: SparkSession, d: str) -> DataFrame:
@@ -263,13 +265,17 @@ def field_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def two_families(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of the four fields, merged with scores where the text is that of all tags."""
+    """Scores of the four fields, merged with scores where the text is that of all tags.
+
+    Fields are weighted and scored apart from each other, so both families take theirs from one run.
+    """
     parsed, idf = _fitted(spark, d)
-    texts = fields.field_texts(parsed)
-    whole = parsed.select("doc_id", F.lit("text").alias("field"), fields.all_text().alias("text"))
-    others = texts.filter(F.col("field") != "text").unionByName(whole)
-    first = materialize(_scores(spark, d, parsed, texts, idf))
-    return ranking.merge_families(first, _scores(spark, d, parsed, others, idf))
+    whole = parsed.select("doc_id", F.lit("all").alias("field"), fields.all_text().alias("text"))
+    texts = fields.field_texts(parsed).unionByName(whole)
+    scores = materialize(_scores(spark, d, parsed, texts, idf, (*FOUR, "all")))
+    field = F.col("field")
+    others = scores.filter(field != "text").withColumn("field", F.when(field == "all", "text").otherwise(field))
+    return ranking.merge_families(scores.filter(field != "all"), others)
 
 
 @check(f"WITH {PAGE_SCORE_SQL} SELECT doc_id, term, round(weight, 6) AS weight FROM w WHERE field = 'all'")

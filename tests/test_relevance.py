@@ -146,3 +146,12 @@ def test_lookup_moves_weights_of_asked_terms_only(spark, monkeypatch):
     got = {(r.doc_id, r.term): r.weight for r in tfidf.lookup(asked, weights, spark.range(20).withColumnRenamed("id", "doc_id")).collect()}
     assert got == {(1, " T2"): 1.2, (1, "no"): 0.0, (99, "t2"): None, (2, None): 0.0}
     assert moved == [20, 20]
+
+
+def test_families_share_one_scoring(spark, monkeypatch):
+    from checks import pages
+
+    calls, score = [], tfidf.score
+    monkeypatch.setattr(tfidf, "score", lambda *a, **k: (calls.append(1), score(*a, **k))[1])
+    assert {r.field for r in pages.two_families(spark, "/root/testdata/sf0.001").select("field").distinct().collect()} == set(pages.WEIGHTS)
+    assert len(calls) == 1
