@@ -44,9 +44,10 @@ _PIECES_KEPT = 400_000
 _TEXT_BYTES = 4_000_000
 _PIECE_BYTES = 64
 # Marks between an ASCII or Latin-1 letter or a digit and white space or the end; an apostrophe
-# may begin a suffix.
+# may begin a suffix. The search looks for the first mark, then back: marks are rarer than letters.
+_MARK = rb"[^\sa-z0-9\x80-\xff']"
 _LAST_MARKS = re.compile(
-    rb"([a-z0-9]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])([^\sa-z0-9\x80-\xff']+)(?=\s|\Z)")
+    _MARK + rb"(?:(?<=[a-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))" + _MARK + rb"*(?=\s|\Z)", re.DOTALL)
 # One word of such letters, which composition leaves alone.
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 
@@ -150,7 +151,7 @@ class LibraryEncoder:
         folded = text.lower()
         if b"<|" in folded:  # names of special tokens keep their case
             return text.split()
-        return _LAST_MARKS.sub(rb"\1 \2", folded).split()
+        return _LAST_MARKS.sub(rb" \g<0>", folded).split()
 
     def _new(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         """Ids of the pieces; words of plain letters go to the library's model directly."""
