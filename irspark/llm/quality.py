@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # ASCII marks of ordinary sentences, and the symbols that the base rules count.
 _SENTENCE = b".,;:!?'\"()-"
@@ -247,15 +248,20 @@ def judge(docs: DataFrame, limits: Limits = Limits(), text: str = "text", lang:
     content = docs.sparkSession.sparkContext.broadcast(packed)
     added = {n for n, _ in _MEASURES}
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
+    schema = docs.select(*keep).schema
+    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema]
+    # A text that is kept moves to the tasks once.
+    once = text in keep and schema[text].dataType == T.StringType()
+    at = 1 + (keep.index(text) if once else len(keep))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = _Judge(content.value, limits)
         for batch in batches:
-            texts, codes = batch.column(0).cast(pa.binary()), batch.column(1).to_pylist()
+            texts, codes = batch.column(at).cast(pa.binary()), batch.column(0).to_pylist()
             rows = [one(t.as_py() or b"", c) for t, c in zip(texts, codes)]
             found = [pa.array([r[i] for r in rows], kind) for i, (_, kind) in enumerate(_MEASURES)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], *found], names=[*keep, *[n for n, _ in _MEASURES]])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1 : 1 + len(keep)], *found], names=[*keep, *[n for n, _ in _MEASURES]])
 
-    given = docs.select(docs[text].cast("string").alias("_text"), language(docs[lang]).alias("_lang"), *[docs[c] for c in keep])
+    texts = [] if once else [docs[text].cast("string").alias("_text")]
+    given = docs.select(language(docs[lang]).alias("_lang"), *[docs[c] for c in keep], *texts)
     return given.mapInArrow(run, ", ".join([*fields, *[f"{n} {_DDL[k]}" for n, k in _MEASURES]]))
