@@ -20,6 +20,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from irspark.llm.batches import slices
 
@@ -215,12 +216,16 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", keep: li
     arrow = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
     added = [n for n in kinds if n in values or n not in ("token_ids", "decoded")]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in added]
-    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema]
+    schema = docs.select(*keep).schema
+    fields = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema]
+    # A text that is kept moves to the tasks once.
+    once = text in keep and schema[text].dataType == T.StringType()
+    at = keep.index(text) if once else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(content.value)
         for batch in batches:
-            texts = batch.column(0).cast(pa.binary())
+            texts = batch.column(at).cast(pa.binary())
             for first, end in slices(texts, _TEXT_BYTES):
                 found: dict[str, list] = {n: [] for n in added}
                 for value in texts.slice(first, end - first):
@@ -231,10 +236,10 @@ def encode_decode(docs: DataFrame, vocabulary: str, text: str = "text", keep: li
                            "token_ids": np.frombuffer(ids, "<i4"), "decoded": decoded}
                     for n in added:
                         found[n].append(row[n])
-                columns = [c.slice(first, end - first) for c in batch.columns[1:]]
+                columns = [c.slice(first, end - first) for c in batch.columns[: len(keep)]]
                 columns += [pa.array(found[n], pa.binary()).cast(pa.string()) if n == "decoded"
                             else pa.array(found[n], arrow[kinds[n]]) for n in added]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *added])
 
-    given = docs.select(docs[text].cast("string").alias("_text"), *[docs[c] for c in keep])
+    given = docs.select(*[docs[c] for c in keep], *([] if once else [docs[text].cast("string").alias("_text")]))
     return given.mapInArrow(run, ", ".join([*fields, *[f"{n} {kinds[n]}" for n in added]]))
