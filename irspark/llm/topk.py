@@ -111,7 +111,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id
     """The k best rows of `vectors` for each row of `queries`: query_id, rank, vec_id, score.
 
     Every block of queries meets every block of vectors in one task; a query keeps k rows of each
-    block, so what is shuffled after is bounded by queries times blocks. Vectors that are null,
+    block, so what is shuffled after is bounded by queries times blocks. The two meet in a merge
+    join: queries are repeated once a block, which no estimate sees, so they must not be broadcast.
+    Rows of one block come one after another and share its sorted lists. Vectors that are null,
     empty, or hold a null or not finite component take no part, nor do rows without an id; a
     vector of another length than the query's is no candidate. Equal rows count once. Rows with
     the query's id are the query's own; of several vectors with one id the smallest one asks.
@@ -127,20 +129,26 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id
     asking = materialize(given(queries).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v")))
     blocks = max(1, -(-base.count() // _VECTORS))
     groups = max(1, -(-asking.count() // _QUERIES))
+    # Blocks are the work: with fewer tasks than blocks, several wait for one task.
+    tasks = max(blocks, int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def packed(df: DataFrame, n: int, key: str, name: str) -> DataFrame:
         placed = df.withColumn(key, F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("int"))
+        placed = placed.repartition(min(n, tasks) if key == "group" else tasks, "dim", key)
         return placed.groupBy("dim", key).agg(F.collect_list(F.struct("id", "v")).alias(name))
 
     # A stated set of queries against all rows, block by block: one row per pair of blocks.
     each = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
     asked = packed(asking, groups, "group", "queries").select("dim", "queries", each)
-    pairs = packed(base, blocks, "block", "vectors").join(asked, ["dim", "block"])
+    pairs = packed(base, blocks, "block", "vectors").hint("merge").join(asked, ["dim", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lists = None, None
         for batch in batches:
             for row in range(batch.num_rows):
-                lists = Lists(*_unpack(batch.column(0)[row].values))
+                block = batch.column(2)[row].as_py(), batch.column(3)[row].as_py()
+                if block != held:
+                    held, lists = block, Lists(*_unpack(batch.column(0)[row].values))
                 ids, asked = _unpack(batch.column(1)[row].values)
                 found = lists.best(ids, asked, k)
                 yield pa.RecordBatch.from_arrays(
@@ -149,6 +157,6 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, vec_id: str = "vec_id
                      pa.array(np.concatenate([f[1] for f in found]), pa.int64())],
                     names=["query_id", "vec_id", "score"])
 
-    found = pairs.select("vectors", "queries").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    found = pairs.select("vectors", "queries", "dim", "block").mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
     best = top_within(found, ["query_id"], [F.col("score").desc(), F.col("vec_id")], k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

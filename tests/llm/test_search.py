@@ -64,3 +64,19 @@ def test_odd_rows(spark, monkeypatch):
         assert [(r.vec_id, r.score) for r in sorted(out, key=lambda r: r["rank"]) if r.query_id == q] == want
     assert {r.query_id for r in out} == {0, 50, 100, 300, 350}
     assert topk.search(vectors.limit(0), vectors.limit(0), 5).count() == 0
+
+
+def test_repeated_queries_are_not_broadcast(spark, monkeypatch):
+    """Queries are repeated once a block, which the planner's estimate doesn't see: a broadcast of them would not fit."""
+    monkeypatch.setattr(topk, "_VECTORS", 9)
+    monkeypatch.setattr(topk, "_QUERIES", 4)
+    r = np.random.default_rng(3)
+    ids, values = np.arange(300), r.integers(-9, 9, (300, 6))
+    vectors = spark.createDataFrame([(int(i), [float(x) for x in v]) for i, v in zip(ids, values)], "vec_id bigint, embedding array<float>")
+    found = topk.search(vectors, vectors.filter("vec_id % 7 = 0"), 3, scale=1)
+    rows = found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    for q in range(0, 300, 7):
+        got = [(x.vec_id, x.score) for x in sorted(rows, key=lambda x: x["rank"]) if x.query_id == q]
+        assert got == brute(ids, values, q, values[q], 3)
