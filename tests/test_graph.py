@@ -1,3 +1,7 @@
+import sys
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,3 +187,52 @@ def test_lines_of_one_link_and_of_none(spark, tmp_path, request, split):
     back = GS.read_edge_rows(spark, str(tmp_path / "rows")).collect()
     assert sorted(map(tuple, back), key=str) == sorted(map(tuple, counted.collect()), key=str)
     assert GS.adjacency_lists(e.limit(0)).count() == 0
+
+
+def test_rows_of_cells_are_bounded(monkeypatch):
+    """Pieces of a cell are put together to rows of about _CHUNK edges; pieces without weights count 1 an edge."""
+    made = sys.modules[graph.grid.__module__]
+    monkeypatch.setattr(made, "_CHUNK", 40)
+    ends = [np.arange(i, i + 15, dtype="<i4").tobytes() for i in range(20)]
+    weights = [None if i % 3 else np.full(15, 2.0).astype("<f8").tobytes() for i in range(20)]
+    columns = {"cell": [i % 2 for i in range(20)], "late": [False] * 20, "src": ends, "dst": ends, "weight": weights}
+    batch = pa.RecordBatch.from_pydict({k: pa.array(v, pa.binary()) if k in ("src", "dst", "weight") else v for k, v in columns.items()})
+    rows = pa.Table.from_batches(list(made._gathered(iter([batch.slice(0, 7), batch.slice(7)])))).to_pylist()
+    assert max(len(r["src"]) for r in rows) <= 4 * (40 + 15) and len(rows) == 8
+    for cell in (0, 1):
+        own = [r for r in rows if r["cell"] == cell]
+        assert b"".join(r["src"] for r in own) == b"".join(r["dst"] for r in own) == b"".join(ends[cell::2])
+        total = sum(np.frombuffer(r["weight"]).sum() if r["weight"] else len(r["src"]) / 4 for r in own)
+        assert total == sum(15 if w is None else 30 for w in weights[cell::2])
+
+
+def test_cells_stream_in_rows(spark, monkeypatch):
+    """A task never holds a cell: its edges are rows of bounded length that pass one after another."""
+    pairs = [(f"v{i * i % 31}", f"v{(i * 7) % 50}") for i in range(600)] + [("v1", None), ("v3", "v3")]
+    want = {r.id: (r.hub, r.authority) for r in graph.hits(edges(spark, pairs), iterations=3).collect()}
+    made, plans = [], []
+    grid, products = graph.grid, graph.products
+    for limit, rows in (("_PACK", 30), ("_CHUNK", 40), ("_AT_ONCE", 16)):
+        monkeypatch.setattr(sys.modules[grid.__module__], limit, rows, raising=False)
+
+    def spied_grid(*a):
+        matrix = grid(*a)
+        made.extend(matrix.cells.rows.select("cell", F.length("src").alias("bytes")).collect())
+        return matrix
+
+    def spied_products(*a):
+        found = products(*a)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(graph, "grid", spied_grid)
+    monkeypatch.setattr(graph, "products", spied_products)
+    known = {x for p in pairs for x in p if x}
+    got = {r.id: r["rank"] for r in graph.pagerank(edges(spark, [p for p in pairs if p[1]]), iterations=4).collect()}
+    assert got == {k: pytest.approx(v, abs=1e-12) for k, v in brute_pagerank([p for p in pairs if p[1]], known, 4).items()}
+    assert len(made) > len({r.cell for r in made})
+    found = {r.id: (r.hub, r.authority) for r in graph.hits(edges(spark, pairs), iterations=3).collect()}
+    assert found == {k: pytest.approx(v) for k, v in want.items()}
+    assert plans and all("MapInArrow" in p and "FlatMapCoGroupsInArrow" not in p for p in plans)
+    # The edges stay in their buckets: only the values move.
+    assert all("SelectedBucketsCount" in p for p in plans)
